@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe_codec, chat_format, token_counts
-from pairloom.llm.common import read
+from pairloom.llm import bpe_codec, chat_format, decontaminate, lang_id, pii, token_counts
+from pairloom.llm.common import read, remainder
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,5 +26,21 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.expand(chat_format.with_probe(turns)))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_bpe_codec, op4_chat_format)}
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontaminate.judge(decontaminate.find_hits(docs, benchmark))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def op7_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = remainder("doc_id", 4) == 2
+    found = lang_id.predict(docs, lang_id.learn(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_bpe_codec, op4_chat_format, op5_decontaminate, op6_pii, op7_lang_id)}
 ORACLE: dict[str, str] = {}
