@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pairloom.llm.common import Recent, as_texts, bundle, pieces
 
 #: Distinct stretches of text in each generation, and pairs of tokens, that a worker remembers.
-REMEMBERED, PAIRS = 300_000, 1_000_000
+REMEMBERED, PAIRS = 150_000, 400_000
 #: Unicode white space, and the published pre-token pattern of byte-level BPE.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -47,6 +47,17 @@ def pack(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
+def token_bytes(spec: dict) -> list[bytes]:
+    """The bytes of each id: all that decoding needs."""
+    alphabet, added = byte_alphabet(), spec["added_tokens"]
+    out = [b""] * (1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in added)]))
+    for token, i in spec["model"]["vocab"].items():
+        out[i] = bytes(alphabet[c] for c in token)
+    for t in added:
+        out[t["id"]] = t["content"].encode()
+    return out
+
+
 class BpeCodec:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -63,11 +74,7 @@ class BpeCodec:
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]):
             raise ValueError(f"{path}: added tokens that take in their surroundings")
         self.added = {c: pack([i]) for c, i in added.items()}
-        self.bytes = [b""] * (1 + max([*self.ids.values(), *added.values()]))
-        for b, i in self.ids.items():
-            self.bytes[i] = b
-        for c, i in added.items():
-            self.bytes[i] = c.encode()
+        self.bytes = token_bytes(spec)
         #: Every ending of a token, with the token's id, or -1 if it is none itself.
         self.tails = {b[k:]: -1 for b in self.ids for k in range(1, len(b))} | self.ids
         self.cut = regex.compile(PATTERN).findall
@@ -160,8 +167,11 @@ class BpeCodec:
         return out
 
     def decode(self, packed: list[bytes]) -> list[str]:
-        table = self.bytes
-        return [b"".join([table[i] for i in np.frombuffer(p, "<u4").tolist()]).decode("utf-8", "replace") for p in packed]
+        return unpack(packed, self.bytes)
+
+
+def unpack(packed: list[bytes], table: list[bytes]) -> list[str]:
+    return [b"".join([table[i] for i in np.frombuffer(p, "<u4").tolist()]).decode("utf-8", "replace") for p in packed]
 
 
 _CODECS: dict[str, BpeCodec] = {}
@@ -192,8 +202,10 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
     def run(batches):
+        with open(path, encoding="utf-8") as f:
+            table = token_bytes(json.load(f))
         for piece in pieces(batches, ids_col):
-            texts = codec(path).decode([x or b"" for x in piece.column(ids_col).to_pylist()])
+            texts = unpack([x or b"" for x in piece.column(ids_col).to_pylist()], table)
             yield piece.append_column("decoded", pa.array(texts, pa.string()))
 
     return df.mapInArrow(run, f"{fields}, decoded string")
