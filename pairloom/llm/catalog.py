@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe_codec, chat_format, decontaminate, lang_id, pii, token_counts
+from pairloom.llm import bpe_codec, chat_format, decontaminate, lang_id, pii, token_counts, toxicity
 from pairloom.llm.common import read, remainder
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read(spark, sf_dir, "documents", "doc_id", "text", "lang"), remainder("doc_id", 4) == 2
+    model = toxicity.learn(docs.where(~held_out), read(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return token_counts.over_limit(token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")), 4096)
@@ -42,5 +48,5 @@ def op7_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_bpe_codec, op4_chat_format, op5_decontaminate, op6_pii, op7_lang_id)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_bpe_codec, op4_chat_format, op5_decontaminate, op6_pii, op7_lang_id)}
 ORACLE: dict[str, str] = {}
