@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe_codec, chat_format, decontaminate, lang_id, pii, token_counts, toxicity
+from pairloom.llm import bpe_codec, chat_format, decontaminate, embedding_dedup, lang_id, pii, token_counts, toxicity
 from pairloom.llm.common import read, remainder
 
 
@@ -48,5 +48,9 @@ def op7_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_bpe_codec, op4_chat_format, op5_decontaminate, op6_pii, op7_lang_id)}
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_bpe_codec, op4_chat_format, op5_decontaminate, op6_pii, op7_lang_id, op8_embedding_dedup)}
 ORACLE: dict[str, str] = {}
