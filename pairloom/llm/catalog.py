@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe_codec, chat_format, decontaminate, embedding_dedup, lang_id, pii, token_counts, toxicity
+from pairloom.llm import bpe_codec, chat_format, decontaminate, embedding_dedup, lang_id, ngram_join, pii, token_counts, toxicity
 from pairloom.llm.common import read, remainder
 
 
@@ -52,5 +52,9 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_bpe_codec, op4_chat_format, op5_decontaminate, op6_pii, op7_lang_id, op8_embedding_dedup)}
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_bpe_codec, op4_chat_format, op5_decontaminate, op6_pii, op7_lang_id, op8_embedding_dedup, op9_ngram_join)}
 ORACLE: dict[str, str] = {}
