@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe_codec, chat_format, decontaminate, embedding_dedup, lang_id, ngram_join, pii, token_counts, toxicity
+from pairloom.llm import bpe_codec, chat_format, decontaminate, embedding_dedup, lang_id, ngram_join, ngram_lm, pii, token_counts, toxicity
 from pairloom.llm.common import read, remainder
 
 
@@ -56,5 +56,11 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_bpe_codec, op4_chat_format, op5_decontaminate, op6_pii, op7_lang_id, op8_embedding_dedup, op9_ngram_join)}
+def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read(spark, sf_dir, "documents", "doc_id", "text"), remainder("doc_id", 7) == 2
+    scored = ngram_lm.learn_and_score(docs.where(~held_out), docs)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_bpe_codec, op4_chat_format, op5_decontaminate, op6_pii, op7_lang_id, op8_embedding_dedup, op9_ngram_join, op10_ngram_lm)}
 ORACLE: dict[str, str] = {}
