@@ -113,21 +113,26 @@ def _items(benchmark: DataFrame, block: int, blocks: int) -> list[tuple[str, lis
     return [(r.name, words) for r in rows.collect() if (words := words_of(bytes(r.text or b"")))]
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document: id, n_words, n_hit, hit (a byte for each word, 1 if it lies in an occurring window) and items (the item_ids, as text)."""
-    kind = docs.schema[id_col].dataType.simpleString()
+def find_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", keep_text: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """
+    One row per document: row (a struct of its other columns), its text if asked for, n_words, n_hit, hit (a byte for each
+    word, 1 if it lies in an occurring window) and items (the item_ids, as text).
+    """
     total = benchmark.select(F.sum(F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", "a")) + 1).alias("n")).first().n or 0
     blocks = max(1, -(-total // block_words))
-    out = docs.select(F.col(id_col), F.col(text_col), F.lit(None).cast("binary").alias("hit"), F.array().cast("array<string>").alias("items"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")
+    out = docs.select(row, F.col(text_col).alias("text"), F.lit(None).cast("binary").alias("hit"), F.array().cast("array<string>").alias("items"))
+    kind = out.schema["row"].dataType.simpleString()
     for block in range(blocks):
         items = _items(benchmark, block, blocks)
         index = WindowIndex(items, word_counts(docs, {w for _, ws in items for w in ws}, text_col) if items else {})
         final = block == blocks - 1
+        texts = keep_text or not final
 
-        def run(batches, index=index, final=final):
-            for piece in pieces(batches, text_col):
+        def run(batches, index=index, final=final, texts=texts):
+            for piece in pieces(batches):
                 hits, names, sizes = [], [], []
-                for text, before, held in zip(as_bytes(piece.column(text_col)), piece.column("hit").to_pylist(), piece.column("items").to_pylist(), strict=True):
+                for text, before, held in zip(as_bytes(piece.column("text")), piece.column("hit").to_pylist(), piece.column("items").to_pylist(), strict=True):
                     words = words_of(text)
                     hit, found = index.find(words)
                     if before is not None:
@@ -135,20 +140,28 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
                     hits.append(bytes(hit))
                     names.append(sorted({*found, *held}))
                     sizes.append(len(words))
-                ids = piece.column(id_col)
-                fields = [(id_col, ids.type), *([("n_words", pa.int64()), ("n_hit", pa.int64())] if final else [(text_col, piece.column(text_col).type)]), ("hit", pa.binary()), ("items", pa.list_(pa.string()))]
-                yield bundle(pa.schema(fields), ids, *([sizes, [sum(h) for h in hits]] if final else [piece.column(text_col)]), hits, names)
+                fields = [("row", piece.column("row").type), *[("text", piece.column("text").type)] * texts, *[("n_words", pa.int64()), ("n_hit", pa.int64())] * final, ("hit", pa.binary()), ("items", pa.list_(pa.string()))]
+                yield bundle(pa.schema(fields), piece.column("row"), *[piece.column("text")] * texts, *[sizes, [sum(h) for h in hits]] * final, hits, names)
 
-        out = out.mapInArrow(run, f"`{id_col}` {kind}, {'n_words long, n_hit long' if final else f'`{text_col}` string'}, hit binary, items array<string>")
+        out = out.mapInArrow(run, f"row {kind}, {'text string, ' * texts}{'n_words long, n_hit long, ' * final}hit binary, items array<string>")
         if not final:
             out = written(out, "decontaminate")
     return out
 
 
+#: At least a twentieth of the words is hit.
+CONTAMINATED = "n_hit > 0 and 20 * n_hit >= n_words"
+
+
 def judge(hits: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """id, n_words, n_hit, n_items, items_sha256 and contaminated: at least a twentieth of the words is hit."""
+    """id, n_words, n_hit, n_items, items_sha256 and contaminated."""
     return hits.select(
-        id_col, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        F.col("row")[id_col].alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        F.expr(CONTAMINATED).alias("contaminated"),
     )
 
+
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents that are not contaminated, with all their columns."""
+    kept = find_hits(docs, benchmark, text_col, keep_text=True).where(f"not ({CONTAMINATED})")
+    return kept.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

@@ -152,3 +152,22 @@ def predict(docs: DataFrame, profiles: dict[str, list[str]], id_col: str = "doc_
             yield bundle(pa.schema([(id_col, ids.type), ("lang_pred", pa.string()), ("score", pa.float64())]), ids, [x for x, _ in judged], [x for _, x in judged])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")
+
+
+#: Below this a text is of no language that was learned.
+LEAST_SCORE = 0.1
+
+
+def keep(docs: DataFrame, profiles: dict[str, list[str]], text_col: str = "text", least: float = LEAST_SCORE) -> DataFrame:
+    """The documents of a learned language (neither ``und`` nor below the least score), with all their columns. Without languages all stay."""
+    if not profiles:
+        return docs
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+    def run(batches):
+        profiler = Profiler(profiles)
+        for piece in pieces(batches, text_col):
+            judged = [profiler.judge(t) for t in as_texts(piece.column(text_col))]
+            yield piece.filter(pa.array([lang != "und" and score >= least for lang, score in judged], pa.bool_()))
+
+    return docs.mapInArrow(run, fields)

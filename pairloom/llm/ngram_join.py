@@ -340,3 +340,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = named.where("root is not null").groupBy("root").agg(F.min("id").alias("component_id"))
     out = named.join(least, "root", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """
+    One document of each group of near-duplicates (the one with the least id), with all its columns. Rows that repeat an id
+    stand or fall together, and one of them stays; rows without an id stay.
+    """
+    found = written(near_duplicates(docs, id_col, text_col).select(F.col(id_col).alias("id"), "component_id"), "kept")
+    gone = found.where("id != component_id").select(F.col("id").alias(id_col))
+    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    if found.where("id is not null").groupBy("id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(F.col(id_col).isNull()))
