@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def clips(frames: DataFrame, scene: str, order: list[str], item: str, size: int) -> DataFrame:
     """Every full window of size frames of a scene: scene, start (from 0), clip (array) and its centre."""
     w = Window.partitionBy(scene).orderBy(*order)
-    out = frames.withColumn("clip", F.collect_list(item).over(w.rowsBetween(0, size - 1))).withColumn("start", F.row_number().over(w) - 1)
+    out = frames.withColumn("clip", F.collect_list(item).over(w.rowsBetween(0, size - 1))).withColumn("start", (F.row_number().over(w) - 1).cast("long"))
     return out.where(F.size("clip") == size).select(scene, "start", "clip", F.element_at("clip", size // 2 + 1).alias("centre"))
 
 
@@ -82,7 +82,7 @@ def tile_origins(length: Column, crop: int, step: int, threshold: int) -> Column
 def tiles(images: DataFrame, key: str, crop: int, step: int, threshold: int) -> DataFrame:
     """Tiles in row-major order, numbered from 1."""
     y = images.withColumn("y", F.explode(tile_origins(F.col("h"), crop, step, threshold))).withColumn("x", F.explode(tile_origins(F.col("w"), crop, step, threshold)))
-    return y.select(key, F.row_number().over(Window.partitionBy(key).orderBy("y", "x")).alias("tile"), "y", "x")
+    return y.select(key, F.row_number().over(Window.partitionBy(key).orderBy("y", "x")).cast("long").alias("tile"), F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"))
 
 
 def warmup_lr(iteration: Column, rate: float, warmup: int) -> Column:

@@ -223,7 +223,7 @@ def gauss_noise(x: np.ndarray, sigma: float, rng: np.random.Generator, gray: boo
 
 
 def poisson_noise(x: np.ndarray, scale: float, rng: np.random.Generator, gray: bool = False) -> np.ndarray:
-    base = np.round((x.mean(0, keepdims=True) if gray else x) * 255) / 255
+    base = np.clip(np.round((x.mean(0, keepdims=True) if gray else x) * 255) / 255, 0, 1)
     levels = 2.0 ** math.ceil(math.log2(max(2, len(np.unique(base)))))
     return np.clip(x + (rng.poisson(base * levels) / levels - base) * scale, 0, 1)
 

@@ -1,6 +1,8 @@
-"""The registry of the engine's queries and of their SQL counterparts."""
+"""All queries of the engine and their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from pairloom.plans import pixels, relational  # noqa: F401  both register their queries
+from pairloom.plans.base import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
