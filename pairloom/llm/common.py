@@ -90,7 +90,8 @@ class Recent:
         """Words whose values are to be put into now; the values of the others are there."""
         if len(self.now) > self.size:
             self.now, self.before = {}, self.now
-        absent = words - self.now.keys()
-        back = absent & self.before.keys()
-        self.now.update({w: self.before[w] for w in back})
-        return absent - back
+        now, before = self.now, self.before
+        absent = {w for w in words if w not in now}  # a difference of key views would go through all that is remembered
+        back = {w: before[w] for w in absent if w in before}
+        now.update(back)
+        return absent.difference(back)

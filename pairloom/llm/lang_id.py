@@ -71,7 +71,7 @@ class Profiler:
             self.forget()
         counts = Counter(_words(text.lower()))
         known = self.words
-        for w in counts.keys() - known.keys():
+        for w in [w for w in counts if w not in known]:
             known[w] = np.array([self.number(g) for g in grams_of(w)], np.int64)
         lists = [known[w] for w in counts]
         ids = np.concatenate(lists)
