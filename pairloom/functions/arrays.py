@@ -10,6 +10,11 @@ def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
 
 
+def let(value: Column, body) -> Column:
+    """body of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def mean(values: Column) -> Column:
     return total(values) / F.size(values)
 
@@ -53,7 +58,7 @@ def nearest(pixels: Column, h: int, w: int, new_h: int, new_w: int) -> Column:
 
 
 def aliasing(pixels: Column, h: int, w: int, factor: int) -> Column:
-    return nearest(nearest(pixels, h, w, h // factor, w // factor), h // factor, w // factor, h, w)
+    return let(nearest(pixels, h, w, h // factor, w // factor), lambda small: nearest(small, h // factor, w // factor, h, w))
 
 
 def mix(a: Column, b: Column, share: float) -> Column:
@@ -162,16 +167,17 @@ def gaussian_kernel(size: int, sigma_x: Column, sigma_y: Column, theta: Column,
     """
     c, s = F.cos(theta), F.sin(theta)
     sx, sy = sigma_x * sigma_x, sigma_y * sigma_y
-    xx, xy, yy = c * c * sx + s * s * sy, c * s * (sx - sy), s * s * sx + c * c * sy
-    det = xx * yy - xy * xy
+    cov = let(F.struct(c.alias("c"), s.alias("s"), sx.alias("sx"), sy.alias("sy")), lambda v: F.struct((v["c"] * v["c"] * v["sx"] + v["s"] * v["s"] * v["sy"]).alias("xx"), (v["c"] * v["s"] * (v["sx"] - v["sy"])).alias("xy"), (v["s"] * v["s"] * v["sx"] + v["c"] * v["c"] * v["sy"]).alias("yy"), (F.lit(1.0) if beta is None else beta).alias("beta")))
     half = size // 2
 
-    def value(i):
-        y, x = F.floor(i / size) - half, i % size - half
-        q = (yy * x * x - 2.0 * xy * x * y + xx * y * y) / det
-        if plateau:
-            return 1.0 / (1.0 + F.pow(q, beta))
-        return F.exp(-0.5 * (q if beta is None else F.pow(q, beta)))
+    def cells(v):
+        def value(i):
+            y, x = F.floor(i / size) - half, i % size - half
+            q = (v["yy"] * x * x - 2.0 * v["xy"] * x * y + v["xx"] * y * y) / (v["xx"] * v["yy"] - v["xy"] * v["xy"])
+            if plateau:
+                return 1.0 / (1.0 + F.pow(q, v["beta"]))
+            return F.exp(-0.5 * (q if beta is None else F.pow(q, v["beta"])))
+
+        return F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), value)
 
-    raw = F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), value)
-    return F.transform(raw, lambda v: v / total(raw))
+    return let(let(cov, cells), lambda a: F.zip_with(a, F.array_repeat(total(a), size * size), lambda v, t: v / t))

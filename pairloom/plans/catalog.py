@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pairloom.plans import pixels, relational  # noqa: F401  both register their queries
+from pairloom.plans import extras, pixels, relational  # noqa: F401  all register their queries
 from pairloom.plans.base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
