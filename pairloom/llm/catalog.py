@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pairloom.llm import bpe_codec, chat_format, decontaminate, embedding_dedup, lang_id, ngram_join, ngram_lm, pii, token_counts, toxicity
 from pairloom.llm.common import read, remainder
+from pairloom.llm.oracle import ORACLE  # noqa: F401
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,4 +64,3 @@ def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_bpe_codec, op4_chat_format, op5_decontaminate, op6_pii, op7_lang_id, op8_embedding_dedup, op9_ngram_join, op10_ngram_lm)}
-ORACLE: dict[str, str] = {}
