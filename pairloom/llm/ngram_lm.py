@@ -1,7 +1,7 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
 Counts of all training documents make a two-level model. Level one is the add-one distribution over all words. Level two
-has the pairs of word classes: the HEAD most frequent words, the end of a text, and one class for all other words. With c
+has the pairs of word classes: the most frequent words (HEAD at most, cut where frequencies step), the end of a text, and one class for all other words. With c
 the pair's count, a Dirichlet prior of strength mu (the best of a grid by leave-one-out likelihood over all pairs) gives
 
     P(w | u) = (c(u, class w) + mu P(class w)) / (c(u) + mu) * P(w) / P(class w)
@@ -42,7 +42,7 @@ from pairloom.llm.common import LOWER, as_bytes, bundle, pieces, written
 HEAD, HOT = 65_000, 50_000
 MUS = (10.0, 30.0, 100.0, 300.0, 1000.0, 3000.0, 10_000.0, 100_000.0)
 #: Words counted before a task hands its counts on; tokens of which a shard of pairs, or words a shard of counts, has about this many.
-COUNTED, SHARD_PAIRS, SHARD_WORDS = 400_000, 3_000_000, 1_000_000
+COUNTED, SHARD_PAIRS, SHARD_WORDS = 400_000, 3_000_000, 250_000
 ROWS, HELD = 8192, 3_000_000
 
 
@@ -209,7 +209,19 @@ def learn_words(docs: DataFrame, text_col: str = "text", head: int = HEAD) -> tu
 
     words = written(docs.select(text_col).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
     sums = words.agg(F.sum("n").alias("total"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct"), F.sum(F.when(F.col("h").isNull(), F.col("n"))).alias("texts")).first()
-    top = words.where("h is not null").orderBy(F.desc("n"), "h").limit(head).collect()
+    # an order and limit would send the best of each task to the driver; steps of an eighth of an octave tell where to cut
+    step = F.floor(F.log2("n") * 8)
+    sizes = words.where("h is not null").groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
+    taken, whole, part, share = 0, [], None, 0.0
+    for r in sizes:
+        if taken + r["count"] > head:
+            part, share = r.step, 0.97 * (head - taken) / r["count"]  # of the step that does not fit as a whole, by hash
+            break
+        taken += r["count"]
+        whole.append(r.step)
+    least = whole[-1] if whole else 1 << 30
+    fits = (step >= least) | ((step == (-1 if part is None else part)) & (F.pmod(F.xxhash64("h"), F.lit(1 << 30)) < int(share * (1 << 30))))
+    top = sorted(words.where(F.col("h").isNotNull() & fits).collect(), key=lambda r: (-r.n, r.h))[:head]
     by_hash = sorted((r.h, k + 2, r.n) for k, r in enumerate(top))
     counts = np.array([0, sums.texts or 0, *(r.n for r in top)], np.float64)
     counts[0] = (sums.total or 0) - counts.sum()
