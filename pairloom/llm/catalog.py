@@ -14,7 +14,8 @@ from pairloom.llm.oracle import ORACLE  # noqa: F401
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = read(spark, sf_dir, "documents", "doc_id", "text", "lang"), remainder("doc_id", 4) == 2
     model = toxicity.learn(docs.where(~held_out), read(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out))
-    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+    scored = toxicity.score(docs, model, lang_col="lang")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "threshold", "flagged")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

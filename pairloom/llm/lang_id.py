@@ -22,14 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import as_texts, bundle, pieces
+from pairloom.llm.common import Recent, as_texts, bundle, pieces
 
 TOP, SIZES, TRAIN_DOCS = 300, (1, 2, 3), 5_000
-#: Distinct words and n-grams that a worker numbers before it begins anew.
-WORDS, GRAMS = 200_000, 100_000
+#: Distinct words in each generation that a worker remembers, and n-grams that it numbers before it begins anew.
+WORDS, GRAMS = 100_000, 100_000
 
 _words = re.compile(r"[^\W\d_]+").findall
-_letter = re.compile(r"[^\W\d_]").search
 
 
 def grams_of(word: str) -> list[str]:
@@ -51,28 +50,41 @@ class Profiler:
         self.forget()
 
     def forget(self) -> None:
-        self.words: dict[str, np.ndarray] = {}
-        self.ids: dict[str, int] = {}
+        self.words = Recent(WORDS)
+        self.ids: dict[int, int] = {}
         self.ties = np.zeros(1024, np.int64)
         self.columns = np.zeros(1024, np.int64)
 
-    def number(self, gram: str) -> int:
-        if (i := self.ids.get(gram)) is None:
-            i = self.ids[gram] = len(self.ids)
+    def number(self, code: int) -> int:
+        """The number of an n-gram, given as its code points (21 bits each)."""
+        if (i := self.ids.get(code)) is None:
+            i = self.ids[code] = len(self.ids)
             if i == len(self.ties):
                 self.ties, self.columns = (np.concatenate([a, np.zeros(len(a), np.int64)]) for a in (self.ties, self.columns))
+            gram = "".join(chr(c) for k in range(3) if (c := code >> 21 * k & 0x1FFFFF))
             self.ties[i] = (1 << 32) - 1 - zlib.crc32(gram.encode())
             self.columns[i] = self.column.get(gram, len(self.column))
         return i
 
-    def top(self, text: str) -> np.ndarray:
+    def learn_words(self, new: list[str]) -> None:
+        """The n-grams of many words at once, as grams_of() has them."""
+        points = np.frombuffer("".join([f"_{w}_" for w in new]).encode("utf-32-le"), "<u4").astype(np.int64)
+        sizes = np.fromiter(map(len, new), np.int64, len(new)) + 2
+        word = np.repeat(np.arange(len(new)), sizes)
+        room = np.cumsum(sizes)[word] - np.arange(len(points))  # points up to the word's end
+        after = np.concatenate([points, [0, 0]])
+        two = points | after[1:-1] << 21
+        codes = np.stack([points, two, two | after[2:] << 42], 1)
+        real = room[:, None] >= np.array(SIZES)
+        real[:, 0] &= points != ord("_")
+        found, at = np.unique(codes[real], return_inverse=True)
+        ids = np.fromiter(map(self.number, found.tolist()), np.int32, len(found))[at]
+        ends = np.cumsum(np.bincount(np.repeat(word[:, None], 3, 1)[real], minlength=len(new)))
+        self.words.now.update(zip(new, np.split(ids, ends[:-1]), strict=True))
+
+    def top(self, counts: Counter) -> np.ndarray:
         """Profile columns of the most frequent n-grams, most frequent first (ties by a checksum)."""
-        if len(self.words) > WORDS or len(self.ids) > GRAMS:
-            self.forget()
-        counts = Counter(_words(text.lower()))
-        known = self.words
-        for w in [w for w in counts if w not in known]:
-            known[w] = np.array([self.number(g) for g in grams_of(w)], np.int64)
+        known = self.words.now
         lists = [known[w] for w in counts]
         ids = np.concatenate(lists)
         weight = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), np.fromiter(map(len, lists), np.int64, len(lists)))
@@ -89,10 +101,19 @@ class Profiler:
             key, at = key[best], at[best]
         return self.columns[at[np.argsort(-key, kind="stable")]]
 
-    def judge(self, text: str) -> tuple[str, float]:
-        if not self.langs or not _letter(text):
-            return "und", 0.0
-        columns = self.top(text)
+    def judge(self, texts: list[str]) -> list[tuple[str, float]]:
+        """Language and score of each text."""
+        if not self.langs:
+            return [("und", 0.0)] * len(texts)
+        if len(self.ids) > GRAMS:
+            self.forget()
+        counts = [Counter(_words(t.lower())) for t in texts]
+        if new := list(self.words.missing(set().union(*counts))):
+            self.learn_words(new)
+        return [self.nearest(c) if c else ("und", 0.0) for c in counts]
+
+    def nearest(self, counts: Counter) -> tuple[str, float]:
+        columns = self.top(counts)
         places = self.places[:, columns]
         distance = np.where(places < 0, TOP, np.abs(places - np.arange(len(columns)))).sum(1)
         best = int(np.argmin(distance))
@@ -147,7 +168,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[str]], id_col: str = "doc_
     def run(batches):
         profiler = Profiler(profiles)
         for piece in pieces(batches, text_col):
-            judged = [profiler.judge(t) for t in as_texts(piece.column(text_col))]
+            judged = profiler.judge(as_texts(piece.column(text_col)))
             ids = piece.column(id_col)
             yield bundle(pa.schema([(id_col, ids.type), ("lang_pred", pa.string()), ("score", pa.float64())]), ids, [x for x, _ in judged], [x for _, x in judged])
 
@@ -167,7 +188,7 @@ def keep(docs: DataFrame, profiles: dict[str, list[str]], text_col: str = "text"
     def run(batches):
         profiler = Profiler(profiles)
         for piece in pieces(batches, text_col):
-            judged = [profiler.judge(t) for t in as_texts(piece.column(text_col))]
+            judged = profiler.judge(as_texts(piece.column(text_col)))
             yield piece.filter(pa.array([lang != "und" and score >= least for lang, score in judged], pa.bool_()))
 
     return docs.mapInArrow(run, fields)

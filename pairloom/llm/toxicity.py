@@ -242,14 +242,22 @@ def learn(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, trai
     return fit([np.frombuffer(bytes(r.words), "<u4").astype(np.int64) for r in rows], [r.toxic for r in rows], [r.lang or "" for r in rows])
 
 
-def score(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id and score."""
+def score(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = None) -> DataFrame:
+    """
+    One row per document: id and score; with lang_col also threshold (the one of the document's language, the common one
+    where none was calibrated) and flagged (score reaches it). The language does not enter the score.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
+    lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
 
     def run(batches):
-        for piece in pieces(batches, text_col):
-            ids = piece.column(id_col)
-            scores = model.score([hashed(t).astype(np.int64) for t in as_bytes(piece.column(text_col))])
-            yield bundle(pa.schema([(id_col, ids.type), ("score", pa.float64())]), ids, scores.tolist())
-
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double")
+        for piece in pieces(batches):
+            ids = piece.column("id")
+            scores = model.score([hashed(t).astype(np.int64) for t in as_bytes(piece.column("text"))]).tolist()
+            limits = [model.thresholds.get(x, THRESHOLD) for x in piece.column("lang").to_pylist()]
+            schema = pa.schema([("id", ids.type), ("score", pa.float64()), ("threshold", pa.float64()), ("flagged", pa.bool_())])
+            yield bundle(schema, ids, scores, limits, [s >= t for s, t in zip(scores, limits, strict=True)])
+
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lang.alias("lang"))
+    out = source.mapInArrow(run, f"id {kind}, score double, threshold double, flagged boolean").withColumnRenamed("id", id_col)
+    return out if lang_col else out.select(id_col, "score")
