@@ -46,13 +46,22 @@ def positional(left: DataFrame, right: DataFrame, left_order: list[str], right_o
 def numbered(df: DataFrame, order: list[str]) -> DataFrame:
     """ordinal (from 0) in a total order, without putting all rows in one task: range-sorted parts, and each part's offset."""
     parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    cut = df.repartitionByRange(int(parts), *order).withColumn("_part", F.spark_partition_id())
+    # range bounds come from a sample, so both uses below must see the same cut, also after an executor is lost
+    cut = settled(df.repartitionByRange(int(parts), *order).withColumn("_part", F.spark_partition_id()))
     sized = cut.groupBy("_part").agg(F.count("*").alias("_n"))
     starts = sized.withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_start")
     within = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
     return cut.withColumn("_k", within).join(F.broadcast(starts), "_part").withColumn("ordinal", F.col("_k") + F.col("_start")).drop("_part", "_k", "_start")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by a checkpoint in the folder that the cluster shares."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"{df.sparkSession.conf.get('spark.sql.warehouse.dir')}/.checkpoints")
+    return df.checkpoint()
+
+
 def first_root(paths: DataFrame, roots: DataFrame, path: str = "path") -> DataFrame:
     """The first root (by ordinal) that is a proper prefix of each path; null where none is. roots: ordinal, root; few."""
     hit = F.col(path).startswith(F.concat("root", F.lit("/")))
