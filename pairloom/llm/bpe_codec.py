@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from pairloom.llm.common import Recent, as_texts, bundle, pieces
+from pairloom.llm.common import Recent, as_texts, bundle, kept, pieces
 
 #: Distinct stretches of text in each generation, and pairs of tokens, that a worker remembers.
 REMEMBERED, PAIRS = 150_000, 400_000
@@ -174,13 +174,8 @@ def unpack(packed: list[bytes], table: list[bytes]) -> list[str]:
     return [b"".join([table[i] for i in np.frombuffer(p, "<u4").tolist()]).decode("utf-8", "replace") for p in packed]
 
 
-_CODECS: dict[str, BpeCodec] = {}
-
-
 def codec(path: str) -> BpeCodec:
-    if path not in _CODECS:
-        _CODECS[path] = BpeCodec(path)
-    return _CODECS[path]
+    return kept(("bpe", path), lambda: BpeCodec(path))
 
 
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -188,7 +183,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for piece in pieces(batches, text_col):
+        for piece in pieces(batches, text_col, key=("bpe", path)):
             ids, packed = piece.column(id_col), codec(path).encode(as_texts(piece.column(text_col)))
             schema = pa.schema([(id_col, ids.type), ("n_tokens", pa.int64()), ("ids", pa.binary())])
             yield bundle(schema, ids, [len(p) // 4 for p in packed], packed)
@@ -204,7 +199,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
     def run(batches):
         with open(path, encoding="utf-8") as f:
             table = token_bytes(json.load(f))
-        for piece in pieces(batches, ids_col):
+        for piece in pieces(batches, ids_col, key=("bpe", path)):
             texts = unpack([x or b"" for x in piece.column(ids_col).to_pylist()], table)
             yield piece.append_column("decoded", pa.array(texts, pa.string()))
 

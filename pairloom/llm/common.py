@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -53,8 +54,26 @@ def remainder(column: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
 
 
-def pieces(batches: Iterable[pa.RecordBatch], by: str = "text", rows: int = ROWS) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with few rows and few bytes of text."""
+#: What a worker keeps from task to task (a codec, a counter), by key.
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make):
+    """An object that is costly to make, for all tasks of this worker until it works for another operator."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def pieces(batches: Iterable[pa.RecordBatch], by: str = "text", rows: int = ROWS, key: tuple | None = None) -> Iterator[pa.RecordBatch]:
+    """
+    Slices of the batches with few rows and few bytes of text. Workers go from stage to stage, so whatever another operator
+    keeps in this one (under a key other than this) is let go first.
+    """
+    if others := [k for k in _KEPT if k != key]:
+        for k in others:
+            del _KEPT[k]
+        gc.collect()
     for batch in batches:
         at = 0
         sizes = pc.fill_null(pc.binary_length(batch.column(by)), 0).to_pylist()

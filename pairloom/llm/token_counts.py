@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Recent, as_texts, bundle, pieces
+from pairloom.llm.common import Recent, as_texts, bundle, kept, pieces
 
 #: Distinct pre-tokens in each generation of counts that a worker remembers.
 REMEMBERED = 400_000
@@ -138,18 +138,14 @@ class PieceCounter:
         return [sum(map(known.__getitem__, words)) for words in cut]
 
 
-_COUNTERS: dict[str, PieceCounter] = {}
-
-
 def count_tokens(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_bytes and n_tokens of the whole text."""
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        if model_path not in _COUNTERS:
-            _COUNTERS[model_path] = PieceCounter(model_path)
-        counter = _COUNTERS[model_path]
-        for piece in pieces(batches, text_col):
+        key = ("pieces", model_path)
+        for piece in pieces(batches, text_col, key=key):
+            counter = kept(key, lambda: PieceCounter(model_path))
             texts = as_texts(piece.column(text_col))
             ids = piece.column(id_col)
             schema = pa.schema([(id_col, ids.type), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
