@@ -1,22 +1,27 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
-Counts of all training documents make a two-level model. Level one is the add-one distribution over all words. Level two
-has the pairs of word classes: the most frequent words (HEAD at most, cut where frequencies step), the end of a text, and one class for all other words. With c
-the pair's count, a Dirichlet prior of strength mu (the best of a grid by leave-one-out likelihood over all pairs) gives
+Counts of all training documents make a two-level model over all words, none cut. Level one is the add-one distribution.
+Level two has every pair of words that occurs (the end of a text is a word). With c the pair's count and a Dirichlet prior
+of strength mu (the best of a grid by leave-one-out likelihood over all pairs)
 
-    P(w | u) = (c(u, class w) + mu P(class w)) / (c(u) + mu) * P(w) / P(class w)
+    P(w | u) = (c(u, w) + mu P(w)) / (c(u) + mu)
 
 so a text's score is its base score plus, for each token, log10(mu / (c(u) + mu)), plus log10(1 + ratio / mu) where the
-pair was seen and ratio = c / P(class w). Only these ratios need pairs; they are kept, quantised in log space, in a trie.
-
-The trie is cut into shards by a hash of the pair (so that no frequent word is one task's work). A shard has its contexts, an
-Elias-Fano sequence of pointers to each context's successors, one of the successors, and the quantised values. A task
-maps its shard from a file of its own and answers the documents' queries by successor search relative to the context:
-the upper bits lead to a handful of candidates, the lower bits decide.
-
-Documents send, for each piece of rows, their distinct pairs and rare words with the rows that hold them; what comes back
-is sums for each row. Very frequent pairs (at least 1/HOT of all tokens, so HOT at most) are answered where the documents
-are, so that none is gathered in one task.
+pair was seen and ratio = c(u, w) / P(w). Only these ratios need pairs; they are kept, quantised in log space, in tries.
+
+How a pair is keyed depends on its words, what it counts for does not. The most frequent words (HEAD at most, cut where
+frequencies step) are known to every task and have short ids. Pairs of two such words are dealt by a hash of the pair, so
+that no frequent word is one task's work. All other pairs belong to the shard of their rarer word's hash: the successor, or
+the context if only that is rare. So a shard has all pairs that end in its words, and knows from them how often each word
+occurs; a word that is not in the head has less than 1/HOT of all tokens. A shard of pairs of frequent words has its
+contexts, an Elias-Fano sequence of pointers to each context's successors, one of the successors, and the quantised values;
+one of rare words numbers the words it knows, and has an Elias-Fano sequence of pairs of these numbers. A task maps its
+shard from a file of its own and answers the documents' queries by successor search relative to the context: the upper bits
+lead to a handful of candidates, the lower bits decide.
+
+Documents send, for each piece of rows, their distinct pairs with the rows that hold them; what comes back is sums for each
+row. Very frequent pairs (at least 1/HOT of all tokens, so HOT at most) are answered where the documents are, so that none
+is gathered in one task.
 
 Null and empty texts are one end token. Repeated rows count, and are scored, each for itself; other columns are not read. Without
 training documents every base score is 0. Words are known by a 64-bit hash.
@@ -36,21 +41,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import LOWER, as_bytes, bundle, pieces, written
+from pairloom.llm.common import LOWER, as_bytes, bundle, dropped, pieces, written
 
-#: Frequent words with a class of their own; class 0 is all other words, class 1 the end of a text.
+#: Frequent words with a short id; id 0 stands for any other word, which goes by its hash, and 1 is the end of a text.
 HEAD, HOT = 65_000, 50_000
+#: Added to the id of a frequent word that follows the rare word of a pair (that comes before it otherwise).
+AFTER = 1 << 17
 MUS = (10.0, 30.0, 100.0, 300.0, 1000.0, 3000.0, 10_000.0, 100_000.0)
 #: Words counted before a task hands its counts on; tokens of which a shard of pairs, or words a shard of counts, has about this many.
 COUNTED, SHARD_PAIRS, SHARD_WORDS = 400_000, 3_000_000, 250_000
 ROWS, HELD = 8192, 3_000_000
 
 
-def hashes(text: bytes) -> np.ndarray:
-    words = text.translate(LOWER).split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
-
-
 class EliasFano:
     """A rising sequence of whole numbers below a limit: lower bits packed, upper bits in unary."""
 
@@ -98,12 +100,23 @@ class EliasFano:
         at, end = self.before(high), self.before(high + 1)
         want, out = values & ((1 << self.low) - 1), np.full(len(values), -1, np.int64)
         left = np.flatnonzero(at < end)
-        while len(left):
+        for _ in range(4):
             here = self.lows(at[left])
             same = here == want[left]
             out[left[same]] = at[left[same]]
             at[left] += 1
             left = left[(here < want[left]) & (at[left] < end[left])]
+        last = end.copy()
+        many = left
+        while len(left):
+            middle = (at[left] + end[left]) >> 1
+            less = self.lows(middle) < want[left]
+            at[left[less]] = middle[less] + 1
+            end[left[~less]] = middle[~less]
+            left = left[at[left] < end[left]]
+        many = many[at[many] < last[many]]
+        many = many[self.lows(at[many]) == want[many]]
+        out[many] = at[many]
         return out
 
     def all(self) -> np.ndarray:
@@ -123,15 +136,20 @@ def pack_trie(pairs: np.ndarray, values: np.ndarray) -> bytes:
     )
 
 
+def mapped(blob) -> np.ndarray:
+    handle, path = tempfile.mkstemp(suffix=".trie")
+    with os.fdopen(handle, "wb") as f:
+        f.write(blob)
+    data = np.memmap(path, np.uint8, "r")
+    os.unlink(path)
+    return data
+
+
 class Trie:
-    """A shard, mapped from a file."""
-
-    def __init__(self, blob: bytes):
-        handle, path = tempfile.mkstemp(suffix=".trie")
-        with os.fdopen(handle, "wb") as f:
-            f.write(blob)
-        self.data = data = np.memmap(path, np.uint8, "r")
-        os.unlink(path)
+    """A shard of pairs of frequent words, mapped from a file."""
+
+    def __init__(self, blob):
+        self.data = data = mapped(blob)
         n, self.least, self.step = struct.unpack("<qdd", data[:24].tobytes())
         self.contexts = data[24 : 24 + 2 * n].view("<u2").astype(np.int64)
         pointers = EliasFano(data, 24 + 2 * n)
@@ -152,41 +170,110 @@ class Trie:
         return out
 
 
+def pack_rare(words: np.ndarray, others: np.ndarray, counts: np.ndarray, values: np.ndarray) -> bytes:
+    """words, others: distinct pairs, sorted; counts: how often each distinct word occurs; values: to be quantised to 16 bits."""
+    known, rank = np.unique(words, return_inverse=True)
+    second, place = np.unique(others, return_inverse=True)
+    least, most = (float(values.min()), float(values.max())) if len(values) else (0.0, 0.0)
+    step = (most - least) / 65535 or 1.0
+    return (
+        struct.pack("<qqdd", len(known), len(second), least, step) + known.astype("<u8").tobytes() + counts.astype("<i8").tobytes() + second.astype("<i8").tobytes()
+        + EliasFano.pack(rank * len(second) + place, len(known) * len(second)) + np.round((values - least) / step).astype("<u2").tobytes()
+    )
+
+
+class RareTrie:
+    """A shard of rare words with all their pairs, mapped from a file."""
+
+    def __init__(self, blob):
+        self.data = data = mapped(blob)
+        n, m, self.least, self.step = struct.unpack("<qqdd", data[:32].tobytes())
+        self.words, self.counts, self.others = np.frombuffer(data, "<u8", n, 32), np.frombuffer(data, "<i8", n, 32 + 8 * n), np.frombuffer(data, "<i8", m, 32 + 16 * n)
+        self.pairs = EliasFano(data, 32 + 16 * n + 8 * m)
+        self.values = np.frombuffer(data, "<u2", self.pairs.n, self.pairs.end)
+
+    def find(self, words: np.ndarray, sizes: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each word occurs, and the value of each of its pairs (sizes of others by word); -inf if it was not seen."""
+        counts, out = np.zeros(len(words), np.int64), np.full(len(others), -np.inf)
+        if not len(self.words):
+            return counts, out
+        rank = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        there = self.words[rank] == words
+        counts[there] = self.counts[rank[there]]
+        place = np.minimum(np.searchsorted(self.others, others), len(self.others) - 1)
+        known = np.flatnonzero(np.repeat(there, sizes) & (self.others[place] == others))
+        at = self.pairs.find(np.repeat(rank, sizes)[known] * len(self.others) + place[known])
+        out[known[at >= 0]] = self.values[at[at >= 0]] * self.step + self.least
+        return counts, out
+
+
 @dataclass
 class Base:
     """What every task knows of the words: bounded by HEAD."""
 
     words: np.ndarray  # hashes of the head, sorted
-    ids: np.ndarray  # their classes
-    counts: np.ndarray  # by class
+    ids: np.ndarray  # their ids
+    counts: np.ndarray  # by id; 0 has all other words' tokens
     total: int  # N
     distinct: int  # V
+    contexts: np.ndarray  # for each of MUS, the sum of c log(c - 1 + mu) over all words as contexts
 
-    @property
-    def shares(self) -> np.ndarray:
-        """P(class) by the add-one distribution."""
-        out = (self.counts + 1.0) / (self.total + self.distinct + 1)
-        out[0] = max(1e-12, 1 - out[1:].sum())
-        return out
+    def share(self, counts: np.ndarray) -> np.ndarray:
+        """P(w) by the add-one distribution."""
+        return (counts + 1.0) / (self.total + self.distinct + 1)
 
-    def classes(self, words: np.ndarray) -> np.ndarray:
+    def find(self, words: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return np.zeros(len(words), np.int64)
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         return np.where(self.words[at] == words, self.ids[at], 0)
 
-    def pairs(self, words: np.ndarray) -> np.ndarray:
-        """u << 16 | w for each token of a text, the end last; a text begins after an end."""
-        ids = np.concatenate([[1], self.classes(words), [1]])
-        return ids[:-1] << 16 | ids[1:]
+    def tokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and hashes of the tokens of all texts, with an end before the first and after each, and the texts' sizes with their ends."""
+        words, sizes = [b""], []
+        for text in texts:
+            mine = text.translate(LOWER).split()
+            words += mine
+            words.append(b"")
+            sizes.append(len(mine) + 1)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
+        sizes = np.array(sizes, np.int64)
+        ids = self.find(hashes)
+        ids[np.concatenate([[0], np.cumsum(sizes)])] = 1
+        return ids, hashes, sizes
+
+
+def split(ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """
+    The pairs of neighbours: those of two frequent words, as u << 16 | w, with their places; those with a rare word, as that
+    word's hash (the successor's if both are rare) and the other word, with their places.
+    """
+    u, w = ids[:-1], ids[1:]
+    near = (u > 0) & (w > 0)
+    far = np.flatnonzero(~near)
+    last = w[far] == 0
+    words = np.where(last, hashes[far + 1], hashes[far]).view(np.uint64)
+    others = np.where(last, np.where(u[far] > 0, u[far], hashes[far]), AFTER + w[far])
+    near = np.flatnonzero(near)
+    return u[near] << 16 | w[near], near, words, others, far
+
+
+def ends_in_word(others: np.ndarray) -> np.ndarray:
+    """Whether the pairs of rare words have these as successors."""
+    return (others < AFTER) | (others >= 2 * AFTER)
+
+
+def shard_of_words(words: np.ndarray, shards: int) -> np.ndarray:
+    """By range of the hash, so that sorted words are in the order of their shards."""
+    return ((words >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
 def shard_of(pairs: np.ndarray, shards: int) -> np.ndarray:
     return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % shards
 
 
-def learn_words(docs: DataFrame, text_col: str = "text", head: int = HEAD) -> tuple[Base, DataFrame]:
-    """The words' base, and the counts of all words by hash (a table)."""
+def learn_words(docs: DataFrame, text_col: str = "text", head: int = HEAD) -> Base:
+    """The words' base, from the counts of all words."""
 
     def run(batches):
         counts = Counter()
@@ -208,7 +295,8 @@ def learn_words(docs: DataFrame, text_col: str = "text", head: int = HEAD) -> tu
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([texts], pa.int64())], names=["h", "n"])
 
     words = written(docs.select(text_col).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
-    sums = words.agg(F.sum("n").alias("total"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct"), F.sum(F.when(F.col("h").isNull(), F.col("n"))).alias("texts")).first()
+    as_contexts = [F.sum(F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") - 1 + mu))).alias(f"mu{k}") for k, mu in enumerate(MUS)]
+    sums = words.agg(F.sum("n").alias("total"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct"), F.sum(F.when(F.col("h").isNull(), F.col("n"))).alias("texts"), *as_contexts).first()
     # an order and limit would send the best of each task to the driver; steps of an eighth of an octave tell where to cut
     step = F.floor(F.log2("n") * 8)
     sizes = words.where("h is not null").groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
@@ -226,19 +314,42 @@ def learn_words(docs: DataFrame, text_col: str = "text", head: int = HEAD) -> tu
     counts = np.array([0, sums.texts or 0, *(r.n for r in top)], np.float64)
     counts[0] = (sums.total or 0) - counts.sum()
     hashed, ids = (np.array([x[i] for x in by_hash], np.int64) for i in (0, 1))
-    return Base(hashed, ids, counts, sums.total or 0, sums.distinct or 0), words
+    dropped(words)
+    return Base(hashed, ids, counts, sums.total or 0, sums.distinct or 0, np.array([sums[f"mu{k}"] or 0.0 for k in range(len(MUS))]))
+
+
+def by_word(words: np.ndarray, others: np.ndarray, shards: int, rows: np.ndarray | None = None):
+    """For each shard: distinct words, how many distinct pairs each has, their others, how often each pair comes, and the rows."""
+    order = np.lexsort((others, words))
+    words, others = words[order], others[order]
+    rows = None if rows is None else rows[order].astype("<u2")
+    cuts = np.searchsorted(shard_of_words(words, shards), np.arange(shards + 1))
+    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        if b > a:
+            w, o = words[a:b], others[a:b]
+            fresh = np.concatenate([[True], w[1:] != w[:-1]])
+            starts = np.flatnonzero(fresh | np.concatenate([[True], o[1:] != o[:-1]]))
+            firsts = np.flatnonzero(fresh[starts])
+            sizes, times = np.diff(np.append(firsts, len(starts))), np.diff(np.append(starts, b - a))
+            yield k, w[starts[firsts]].tobytes(), sizes.astype("<u4").tobytes(), o[starts].tobytes(), times.astype("<u4").tobytes(), None if rows is None else rows[a:b].tobytes()
 
 
-_COUNTS = pa.schema([("shard", pa.int32()), ("pairs", pa.binary()), ("counts", pa.binary())])
+#: kind 0: pairs of frequent words (in pairs, 32 bits each); 1: pairs of rare words (words, and sizes of their pairs, 64 bits each).
+_COUNTS = pa.schema([("kind", pa.int32()), ("shard", pa.int64()), ("words", pa.binary()), ("sizes", pa.binary()), ("pairs", pa.binary()), ("counts", pa.binary())])
 
 
-def learn_pairs(docs: DataFrame, base: Base, text_col: str = "text") -> tuple[DataFrame, int, dict[int, int], float]:
-    """The trie's shards (a table), their number, the hot pairs with their counts, and mu."""
-    shards = max(1, -(-base.total // SHARD_PAIRS))
-    hot_from, shares, counts = max(2, -(-base.total // HOT)), base.shares, base.counts
+def shards_of(base: Base) -> tuple[int, int]:
+    """How many shards of pairs of frequent words, and of rare words."""
+    return max(1, -(-base.total // SHARD_PAIRS)), max(1, -(-base.distinct // SHARD_WORDS))
+
+
+def learn_pairs(docs: DataFrame, base: Base, text_col: str = "text") -> tuple[DataFrame, dict[int, int], float]:
+    """The tries' shards (a table), the hot pairs with their counts, and mu."""
+    shards, rare_shards = shards_of(base)
+    hot_from, shares = max(2, -(-base.total // HOT)), base.share(base.counts)
 
     def run(batches):
-        held, size = [], 0
+        held, rare, size = [], [], 0
 
         def out():
             pairs, n = np.unique(np.concatenate(held), return_counts=True)
@@ -246,66 +357,90 @@ def learn_pairs(docs: DataFrame, base: Base, text_col: str = "text") -> tuple[Da
             order = np.argsort(shard, kind="stable")
             cuts = np.searchsorted(shard[order], np.arange(shards + 1))
             pairs, n = pairs[order].astype("<u4"), n[order].astype("<u4")
-            rows = [(k, pairs[a:b].tobytes(), n[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            rows = [(0, k, None, None, pairs[a:b].tobytes(), n[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            rows += [(1, *x[:5]) for x in by_word(*(np.concatenate(x) for x in zip(*rare, strict=True)), rare_shards)]
             for at in range(0, len(rows), 64):
                 yield bundle(_COUNTS, *map(list, zip(*rows[at : at + 64], strict=True)))
 
         for piece in pieces(batches, text_col, ROWS):
-            for text in as_bytes(piece.column(text_col)):
-                held.append(base.pairs(hashes(text)).astype(np.uint32))
-                size += len(held[-1])
+            ids, hashes, _ = base.tokens(as_bytes(piece.column(text_col)))
+            pairs, _, words, others, _ = split(ids, hashes)
+            held.append(pairs.astype(np.uint32))
+            rare.append((words, others))
+            size += len(ids) - 1
             if size > HELD:
                 yield from out()
-                held, size = [], 0
+                held, rare, size = [], [], 0
         if held:
             yield from out()
 
+    def summed(keys: tuple, n: np.ndarray):
+        """Distinct keys, sorted by the last first, and the sum of n for each."""
+        order = np.lexsort(keys)
+        keys, n = [k[order] for k in keys], n[order]
+        fresh = np.ones(len(n), bool)
+        fresh[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+        starts = np.flatnonzero(fresh)
+        return [k[starts] for k in keys], np.add.reduceat(n, starts)
+
     def build(table: pa.Table) -> pa.Table:
-        pairs = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("pairs").to_pylist()]).astype(np.int64)
-        n = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("counts").to_pylist()]).astype(np.int64)
-        order = np.argsort(pairs, kind="stable")
-        pairs, n = pairs[order], n[order]
-        starts = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
-        pairs, n = pairs[starts], np.add.reduceat(n, starts)
-        p, c = shares[pairs & 65535], counts[pairs >> 16]
-        fit = [float((n * np.log((n - 1 + mu * p) / (c - 1 + mu))).sum()) for mu in MUS]
-        hot = n >= hot_from
+        def all_of(column, kind):
+            return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(column)])
+
+        n = all_of("counts", "<u4").astype(np.int64)
+        if table.column("kind")[0].as_py() == 0:
+            (pairs,), n = summed((all_of("pairs", "<u4").astype(np.int64),), n)
+            p, hot = shares[pairs & 65535], n >= hot_from
+            trie, hot_pairs, hot_counts = pack_trie(pairs, np.log10(n / p)), pairs[hot], n[hot]
+        else:
+            (others, words), n = summed((all_of("pairs", "<i8"), np.repeat(all_of("words", "<u8"), all_of("sizes", "<u4"))), n)
+            last = ends_in_word(others)
+            starts = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+            counts = np.add.reduceat(n * last, starts)  # all tokens of a word end a pair, and all these pairs are here
+            p = base.share(np.repeat(counts, np.diff(np.append(starts, len(words)))))
+            p[~last] = shares[others[~last] - AFTER]
+            trie, hot_pairs, hot_counts = pack_rare(words, others, counts, np.log10(n / p)), n[:0], n[:0]
+        fit = [float((n * np.log(n - 1 + mu * p)).sum()) for mu in MUS]
         return pa.table({
-            "shard": table.column("shard").slice(0, 1), "trie": pa.array([pack_trie(pairs, np.log10(n / p))], pa.binary()), "hot": pa.array([pairs[hot].tobytes()], pa.binary()),
-            "hot_counts": pa.array([n[hot].tobytes()], pa.binary()), "fit": pa.array([fit], pa.list_(pa.float64())),
+            "kind": table.column("kind").slice(0, 1), "shard": table.column("shard").slice(0, 1), "trie": pa.array([trie], pa.binary()), "hot": pa.array([hot_pairs.tobytes()], pa.binary()),
+            "hot_counts": pa.array([hot_counts.tobytes()], pa.binary()), "fit": pa.array([fit], pa.list_(pa.float64())),
         })
 
-    made = docs.select(text_col).mapInArrow(run, "shard int, pairs binary, counts binary").groupBy("shard").applyInArrow(build, "shard int, trie binary, hot binary, hot_counts binary, fit array<double>")
+    counted = docs.select(text_col).mapInArrow(run, "kind int, shard long, words binary, sizes binary, pairs binary, counts binary")
+    made = counted.groupBy("kind", "shard").applyInArrow(build, "kind int, shard long, trie binary, hot binary, hot_counts binary, fit array<double>")
     made = written(made, "trie")
-    known = made.select("hot", "hot_counts").collect()  # HOT pairs at most, as all counts add up to N
+    known = made.where("kind = 0").select("hot", "hot_counts").collect()  # HOT pairs at most, as all counts add up to N
     hot = {k: v for r in known for k, v in zip(np.frombuffer(bytes(r.hot), np.int64).tolist(), np.frombuffer(bytes(r.hot_counts), np.int64).tolist(), strict=True)}
     fits = made.agg(*[F.sum(F.col("fit")[k]) for k in range(len(MUS))]).first()
-    return made.select("shard", "trie"), shards, hot, MUS[int(np.argmax([x or 0.0 for x in fits]))]
+    return made.select("kind", "shard", "trie"), hot, MUS[int(np.argmax(np.array([x or 0.0 for x in fits]) - base.contexts))]
 
 
-_QUERY = pa.schema([("kind", pa.int32()), ("shard", pa.int32()), ("piece", pa.int64()), ("keys", pa.binary()), ("times", pa.binary()), ("rows", pa.binary())])
-_ANSWER = pa.schema([("piece", pa.int64()), ("rows", pa.binary()), ("tail", pa.binary()), ("known", pa.binary()), ("gain", pa.binary())])
+#: kinds as in _COUNTS, and 2: what is known where the documents are, with the piece as its shard.
+_QUERY = pa.schema([("kind", pa.int32()), ("shard", pa.int64()), ("piece", pa.int64()), ("words", pa.binary()), ("sizes", pa.binary()), ("pairs", pa.binary()), ("times", pa.binary()), ("rows", pa.binary())])
+_ANSWER = pa.schema([("piece", pa.int64()), ("rows", pa.binary()), ("tail", pa.binary()), ("known", pa.binary()), ("gain", pa.binary()), ("ids", pa.binary()), ("tokens", pa.binary())])
 
 
-def _grouped(keys: np.ndarray, rows: np.ndarray, shard: np.ndarray, kind: str, shards: int):
-    """For each shard: distinct keys, how many rows each has, and the rows (a row comes as often as it holds the key)."""
-    order = np.lexsort((keys, shard))
-    keys, rows, shard = keys[order], rows[order].astype("<u2"), shard[order]
+def _grouped(pairs: np.ndarray, rows: np.ndarray, shards: int):
+    """For each shard: distinct pairs, how often each comes, and the rows (a row comes as often as it holds the pair)."""
+    shard = shard_of(pairs, shards)
+    order = np.lexsort((pairs, shard))
+    pairs, rows, shard = pairs[order], rows[order].astype("<u2"), shard[order]
     cuts = np.searchsorted(shard, np.arange(shards + 1))
     for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
         if b > a:
-            starts = np.flatnonzero(np.concatenate([[True], keys[a + 1 : b] != keys[a : b - 1]]))
+            starts = np.flatnonzero(np.concatenate([[True], pairs[a + 1 : b] != pairs[a : b - 1]]))
             times = np.diff(np.append(starts, b - a)).astype("<u4")
-            yield k, keys[a:b][starts].astype(kind).tobytes(), times.tobytes(), rows[a:b].tobytes()
+            yield k, None, None, pairs[a:b][starts].astype("<u4").tobytes(), times.tobytes(), rows[a:b].tobytes()
 
 
-def score(docs: DataFrame, base: Base, words: DataFrame, trie: DataFrame, shards: int, hot: dict[int, int], mu: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, base: Base, trie: DataFrame, hot: dict[int, int], mu: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_tokens, n_known, base_score, score."""
     kind = docs.schema[id_col].dataType.simpleString()
-    shares, word_shards = base.shares, max(1, -(-base.distinct // SHARD_WORDS))
+    shards, rare_shards = shards_of(base)
     hot_pairs = np.array(sorted(hot), np.int64)
-    hot_gain = np.log10(1 + np.array([hot[k] for k in hot_pairs.tolist()], np.float64) / (mu * shares[hot_pairs & 65535])) if hot else np.zeros(0)
-    log_counts, miss = np.log10(base.counts + 1), np.log10(mu / (base.counts + mu))
+    hot_gain = np.log10(1 + np.array([hot[k] for k in hot_pairs.tolist()], np.float64) / (mu * base.share(base.counts[hot_pairs & 65535]))) if hot else np.zeros(0)
+    log_counts, miss, seen = np.log10(base.counts + 1), np.log10(mu / (base.counts + mu)), (base.counts > 0).astype(np.float64)
+    log_counts[0] = miss[0] = seen[0] = 0  # rare words' shards know these
     each = np.log10(base.total + base.distinct + 1)
     # the piece's number: the partition (upper bits) and the piece within it
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.spark_partition_id().alias("part"))
@@ -316,86 +451,62 @@ def score(docs: DataFrame, base: Base, words: DataFrame, trie: DataFrame, shards
         for piece in pieces(batches, "text", ROWS):
             key = (piece.column("part")[0].as_py() << 32) + number
             number += 1
-            texts = as_bytes(piece.column("text"))
-            n = len(texts)
-            words_, rows, pairs, sizes = [], [], [], np.zeros(n, np.int64)
-            tail_words, tail_rows = [], []
-            known, tail, gain = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-            for k, text in enumerate(texts):
-                h = hashes(text)
-                own = base.pairs(h)
-                cls = own & 65535
-                sizes[k] = len(own)
-                rare = cls[:-1] == 0
-                tail_words.append(h[rare])
-                tail_rows.append(np.full(int(rare.sum()), k))
-                real = cls[cls > 0]
-                known[k] = int((base.counts[real] > 0).sum())
-                tail[k] = log_counts[real].sum()
-                gain[k] = miss[own >> 16].sum()
-                pairs.append(own)
-                rows.append(np.full(len(own), k))
-            pairs, rows = np.concatenate(pairs), np.concatenate(rows)
+            ids, hashes, sizes = base.tokens(as_bytes(piece.column("text")))
+            n = len(sizes)
+            rows = np.repeat(np.arange(n), sizes)
+            known, tail, gain = (np.bincount(rows, v, minlength=n) for v in (seen[ids[1:]], log_counts[ids[1:]], miss[ids[:-1]]))
+            known = known.round().astype(np.int64)
+            pairs, near, words, others, far = split(ids, hashes)
+            near = rows[near]
             if len(hot_pairs):
                 at = np.minimum(np.searchsorted(hot_pairs, pairs), len(hot_pairs) - 1)
                 hit = hot_pairs[at] == pairs
-                gain += np.bincount(rows[hit], hot_gain[at[hit]], minlength=n)
-                pairs, rows = pairs[~hit], rows[~hit]
-            out = [(0, *x) for x in _grouped(pairs, rows, shard_of(pairs, shards), "<u4", shards)] if base.total else []
-            tail_words, tail_rows = np.concatenate(tail_words), np.concatenate(tail_rows)
-            out += [(1, *x) for x in _grouped(tail_words, tail_rows, tail_words % word_shards, "<i8", word_shards)]
+                gain += np.bincount(near[hit], hot_gain[at[hit]], minlength=n)
+                pairs, near = pairs[~hit], near[~hit]
+            out = [(0, *x) for x in _grouped(pairs, near, shards)] if base.total else []
+            out += [(1, *x) for x in by_word(words, others, rare_shards, rows[far])] if base.total else []
             for at in range(0, len(out), 64):
                 part = out[at : at + 64]
                 nothing = [None] * len(part)
-                yield bundle(local_schema, [x[0] for x in part], [x[1] for x in part], [key] * len(part), [x[2] for x in part], [x[3] for x in part], [x[4] for x in part], nothing, nothing, nothing, nothing, nothing)
+                kinds, where, *asked_for = map(list, zip(*part, strict=True))
+                yield bundle(local_schema, kinds, where, [key] * len(part), *asked_for, nothing, nothing, nothing, nothing, nothing)
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, pa.schema([("id", piece.column("id").type)])) as w:
                 w.write_batch(pa.RecordBatch.from_arrays([piece.column("id")], names=["id"]))
-            yield bundle(local_schema, [2], [-1], [key], [None], [None], [None], [sink.getvalue().to_pybytes()], [sizes.tobytes()], [tail.tobytes()], [known.tobytes()], [gain.tobytes()])
+            yield bundle(local_schema, [2], [key], [key], *[[None]] * 5, [sink.getvalue().to_pybytes()], [sizes.tobytes()], [tail.tobytes()], [known.tobytes()], [gain.tobytes()])
+
+    asked = source.mapInArrow(ask, "kind int, shard long, piece long, words binary, sizes binary, pairs binary, times binary, rows binary, ids binary, tokens binary, tail binary, known binary, gain binary")
 
-    asked = source.mapInArrow(ask, "kind int, shard int, piece long, keys binary, times binary, rows binary, ids binary, tokens binary, tail binary, known binary, gain binary")
-    asked = written(asked, "asked")
+    def answer(model: pa.Table, table: pa.Table) -> pa.Table:
+        if table.num_rows and table.column("kind")[0].as_py() == 2:
+            return table.select(_ANSWER.names)
+        blob = model.column("trie")[0].as_buffer() if model.num_rows else None
 
-    def answer(table: pa.Table, value) -> pa.Table:
+        def of_pairs(shard, words, sizes, pairs):
+            pairs = np.frombuffer(pairs, "<u4").astype(np.int64)
+            return None, None, np.log10(1 + 10 ** shard.find(pairs) / mu) if shard else np.zeros(len(pairs))
+
+        def of_words(shard, words, sizes, pairs):
+            words, sizes, others = np.frombuffer(words, "<u8"), np.frombuffer(sizes, "<u4"), np.frombuffer(pairs, "<i8")
+            counts, value = shard.find(words, sizes, others) if shard else (np.zeros(len(words), np.int64), np.full(len(others), -np.inf))
+            # a token of a rare word ends one of its pairs, where it is counted both as a word and as the next one's context
+            last = ends_in_word(others)
+            log_count, known, miss = (np.repeat(v, sizes) * last for v in (np.log10(counts + 1.0), (counts > 0).astype(np.float64), np.log10(mu / (counts + mu))))
+            return log_count, known, miss + np.log10(1 + 10**value / mu)
+
+        rare = table.num_rows and table.column("kind")[0].as_py() == 1
+        shard, value = (RareTrie if rare else Trie)(blob) if blob is not None and table.num_rows else None, of_words if rare else of_pairs
         out = []
-        for piece, keys, times, rows in zip(*(table.column(c).to_pylist() for c in ("piece", "keys", "times", "rows")), strict=True):
-            tail, known, gain = value(keys)
+        for piece, *asked_for in zip(*(table.column(c) for c in ("piece", "words", "sizes", "pairs", "times", "rows")), strict=True):
+            words, sizes, pairs, times, rows = (x.as_buffer() for x in asked_for)
+            tail, known, gain = value(shard, words, sizes, pairs)
             times, rows = np.frombuffer(times, "<u4"), np.frombuffer(rows, "<u2").astype(np.int64)
             mine, at = np.unique(rows, return_inverse=True)
             sums = [np.zeros(len(mine)) if v is None else np.bincount(at, np.repeat(v, times), minlength=len(mine)) for v in (tail, known, gain)]
-            out.append((piece, mine.astype("<u2").tobytes(), *(s.tobytes() for s in sums)))
+            out.append((piece.as_py(), mine.astype("<u2").tobytes(), *(s.tobytes() for s in sums), None, None))
         return pa.Table.from_batches([bundle(_ANSWER, *map(list, zip(*out, strict=True)))] if out else [], schema=_ANSWER)
 
-    def of_pairs(model: pa.Table, table: pa.Table) -> pa.Table:
-        shard = Trie(model.column("trie")[0].as_py()) if model.num_rows else None
-
-        def value(keys):
-            pairs = np.frombuffer(keys, "<u4").astype(np.int64)
-            return None, None, np.log10(1 + 10 ** shard.find(pairs) / mu) if shard else np.zeros(len(pairs))
-
-        return answer(table, value)
-
-    def of_words(model: pa.Table, table: pa.Table) -> pa.Table:
-        h, n = (model.column(c).to_numpy() for c in ("h", "n"))
-        order = np.argsort(h)
-        h, n = h[order], n[order]
-
-        def value(keys):
-            want = np.frombuffer(keys, "<i8")
-            at = np.minimum(np.searchsorted(h, want), max(0, len(h) - 1))
-            c = np.where(h[at] == want, n[at], 0) if len(h) else np.zeros(len(want), np.int64)
-            return np.log10(c + 1.0), (c > 0).astype(np.float64), None
-
-        return answer(table, value)
-
-    shape = "piece long, rows binary, tail binary, known binary, gain binary"
-    queries = asked.select("kind", "shard", "piece", "keys", "times", "rows")
-    by_pair = trie.groupBy("shard").cogroup(queries.where("kind = 0").groupBy("shard")).applyInArrow(of_pairs, shape)
-    counts = words.where("h is not null").withColumn("shard", F.pmod("h", F.lit(word_shards)).cast("int"))
-    by_word = counts.groupBy("shard").cogroup(queries.where("kind = 1").groupBy("shard")).applyInArrow(of_words, shape)
-    local = asked.where("kind = 2").select("piece", F.lit(None).cast("binary").alias("rows"), "tail", "known", "gain", "ids", "tokens")
-    nothing = [F.lit(None).cast("binary").alias(c) for c in ("ids", "tokens")]
-    parts = by_pair.select("*", *nothing).unionByName(by_word.select("*", *nothing)).unionByName(local)
+    answers = trie.groupBy("kind", "shard").cogroup(asked.groupBy("kind", "shard")).applyInArrow(answer, "piece long, rows binary, tail binary, known binary, gain binary, ids binary, tokens binary")
 
     def total(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -412,12 +523,12 @@ def score(docs: DataFrame, base: Base, words: DataFrame, trie: DataFrame, shards
         base_score = tail - tokens * each
         return pa.table({"id": ids, "n_tokens": tokens, "n_known": known.round().astype(np.int64), "base_score": base_score, "score": base_score + gain})
 
-    out = parts.groupBy("piece").applyInArrow(total, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
+    out = answers.groupBy("piece").applyInArrow(total, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
     return out.withColumnRenamed("id", id_col)
 
 
-def learn_and_score(train: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document of docs: id, n_tokens, n_known, train_tokens, base_score, score by a model of train's texts."""
-    base, words = learn_words(train, text_col)
-    trie, shards, hot, mu = learn_pairs(train, base, text_col)
-    return score(docs, base, words, trie, shards, hot, mu, id_col, text_col).withColumn("train_tokens", F.lit(base.total).cast("long"))
+def learn_and_score(train: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD) -> DataFrame:
+    """One row per document of docs: id, n_tokens, n_known, train_tokens, base_score, score by a model of train's texts. Only speed depends on head."""
+    base = learn_words(train, text_col, head)
+    trie, hot, mu = learn_pairs(train, base, text_col)
+    return score(docs, base, trie, hot, mu, id_col, text_col).withColumn("train_tokens", F.lit(base.total).cast("long"))
