@@ -28,6 +28,20 @@ def crop(pixels: Column, w: int, top: int, left: int, height: int, width: int) -
     return _at(pixels, height, width, lambda y, x: (y + top) * w + x + left)
 
 
+def paired_crop(lq: Column, gt: Column, lq_size: tuple[int, int], gt_size: tuple[int, int], gt_patch: int, scale: int, top: Column, left: Column) -> tuple[Column, Column]:
+    """The patch of lq at (top, left), and the one of gt that shows the same."""
+    (h, w), patch = lq_size, gt_patch // scale
+    if gt_size != (h * scale, w * scale):
+        raise ValueError(f"scale mismatch: GT {gt_size} is not {scale} x LQ {lq_size}")
+    if h < patch or w < patch:
+        raise ValueError(f"LQ {lq_size} is smaller than the patch ({patch}, {patch})")
+
+    def checked(pixels, height, width):
+        return F.when(F.size(pixels) == height * width, pixels).otherwise(F.raise_error(F.lit(f"an image is not {height} x {width}")))
+
+    return crop(checked(lq, h, w), w, top, left, patch, patch), crop(checked(gt, *gt_size), gt_size[1], top * scale, left * scale, gt_patch, gt_patch)
+
+
 def mod_crop(pixels: Column, h: int, w: int, scale: int) -> Column:
     return crop(pixels, w, 0, 0, h - h % scale, w - w % scale)
 

@@ -86,8 +86,11 @@ _array("arr_box_means", lambda p: arrays.box_means(p, 8, 8, 2), grid(4, 4, "Y *
 
 @query("arr_random_crop_pair")
 def _(spark, sf):
-    y, x = (F.floor(draws.uniform(5, s, "vec_id") * 5).cast("int") for s in ("top", "left"))
-    return image_pairs(spark, sf).select("vec_id", y.alias("top"), x.alias("left"), F.slice("p", 1, 16).alias("lq"), F.slice("q", 1, 64).alias("gt"))
+    """Patches of 4 x 4 and 8 x 8; the target is the next image at twice its size."""
+    y, x = (F.floor(draws.uniform(5, s, "vec_id") * 5).cast("int").alias(s) for s in ("top", "left"))
+    pairs = image_pairs(spark, sf).select("vec_id", y, x, "p", arrays.nearest(F.col("q"), 8, 8, 16, 16).alias("g"))
+    lq, gt = arrays.paired_crop(F.col("p"), F.col("g"), (8, 8), (16, 16), 8, 2, F.col("top"), F.col("left"))
+    return pairs.select("vec_id", "top", "left", lq.alias("lq"), gt.alias("gt"))
 
 
 @query("aug_mixup", f"select vec_id, round({summed('list_transform(a, lambda x, i: x * i)')}, 6) as digest from (select vec_id, {zipped('z[1] * 0.45::double + z[2] * (1 - 0.45::double)')} as a from {PAIR})")
