@@ -48,14 +48,18 @@ def gradient_variance(a: np.ndarray, b: np.ndarray, patch: int = 4) -> float:
     return float(((variances(a) - variances(b)) ** 2).mean())
 
 
-def checkerboard(a: np.ndarray, b: np.ndarray, scale: int = 2) -> float:
-    """How much the parts of scale x scale cells differ from their cell's mean, against the target."""
-    def rest(x):
+def checkerboard(a: np.ndarray, b: np.ndarray, scale: int = 4, eps: float = 1e-12) -> float:
+    """Charbonnier distance of the differences of all pairs of pixels in each scale x scale cell."""
+    if a.shape != b.shape or a.shape[1] % scale or a.shape[2] % scale:
+        raise ValueError(f"shapes must be equal multiples of {scale}: {a.shape}, {b.shape}")
+    first, second = np.triu_indices(scale * scale, 1)
+
+    def differences(x):
         c, h, w = x.shape
-        cells = x[:, : h // scale * scale, : w // scale * scale].reshape(c, h // scale, scale, w // scale, scale)
-        return cells - cells.mean((2, 4), keepdims=True)
+        cells = x.reshape(c, h // scale, scale, w // scale, scale).transpose(0, 2, 4, 1, 3).reshape(c, scale * scale, -1)
+        return cells[:, first] - cells[:, second]
 
-    return float(np.abs(rest(a) - rest(b)).mean())
+    return float(np.sqrt((differences(a) - differences(b)) ** 2 + eps).mean())
 
 
 def multiscale_ssim(a: np.ndarray, b: np.ndarray, scales: int = 2, peak: float = 1.0) -> float:
@@ -69,10 +73,45 @@ def multiscale_ssim(a: np.ndarray, b: np.ndarray, scales: int = 2, peak: float =
     return float(np.mean(values)) if values else math.nan
 
 
-def consistency(a: np.ndarray, b: np.ndarray, sigma: float = 2.0) -> float:
-    """Absolute difference of the blurred images."""
-    k = gauss2d(5, sigma)
-    return float(np.abs(filter2d(a, k) - filter2d(b, k)).mean())
+def _cosine(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
+    """Along the first axis."""
+    return (a * b).sum(0) / (np.maximum(np.linalg.norm(a, axis=0), eps) * np.maximum(np.linalg.norm(b, axis=0), eps))
+
+
+def _clipped_huber(a: np.ndarray, b: np.ndarray, share: float) -> float:
+    """Pseudo-Huber distance with a share of the mean cosine distance, each pixel's clipped to 1/255..254/255."""
+    return float(np.clip(np.sqrt((a - b) ** 2 + 1e-12) + share * (1 - _cosine(a, b, 1e-20)).mean(), 1 / 255, 254 / 255).mean())
+
+
+def _linear(x: np.ndarray) -> np.ndarray:
+    return np.where(x <= 0.04045, x / 12.92, np.maximum((x + 0.055) / 1.055, 1e-8) ** 2.4)
+
+
+def lightness(x: np.ndarray) -> np.ndarray:
+    """CIE L* of an RGB image, in 0..1."""
+    y = np.tensordot([0.2126, 0.7152, 0.0722], _linear(x), 1)
+    return np.clip(np.where(y <= 216 / 24389, y * (24389 / 27), np.cbrt(np.maximum(y, 1e-8)) * 116 - 16) / 100, 0, 1)
+
+
+_LMS = np.array([[0.4122214708, 0.5363325363, 0.0514459929], [0.2119034982, 0.6806995451, 0.1073969566], [0.0883024619, 0.2817188376, 0.6299787005]])
+_AB = np.array([[1.9779984951, -2.4285922050, 0.4505937099], [0.0259040371, 0.7827717662, -0.8086757660]])
+
+
+def oklab_chroma(x: np.ndarray) -> np.ndarray:
+    """a and b of Oklab."""
+    lms = np.tensordot(_LMS, _linear(x), 1)
+    return np.tensordot(_AB, np.sign(lms) * np.cbrt(np.maximum(np.abs(lms), 1e-8)), 1)
+
+
+def consistency(a: np.ndarray, b: np.ndarray, size: int = 21, sigma: float = 3.0, saturation: float = 1.0, brightness: float = 0.9, cosine: float = 0.5, share: float = 0.012, weight: float = 0.25) -> float:
+    """Lightness of the blurred images and Oklab chroma of the images themselves, each by clipped Huber and by cosine distance."""
+    if a.shape[0] != 3 or a.shape != b.shape:
+        raise ValueError(f"two RGB images of one size are needed: {a.shape}, {b.shape}")
+    a, b = (np.clip(x, 1 / 255, 1) for x in (a, b))
+    light = [lightness(np.clip(filter2d(x, gauss2d(size, sigma)), 0, 1)) * s for x, s in ((a, 1.0), (b, brightness))]
+    chroma = [np.clip(oklab_chroma(x) * s + 0.5, 0, 1) for x, s in ((a, 1.0), (b, saturation))]
+    apart = sum(float(1 - _cosine(x, y, 1e-12).mean()) for x, y in ([v[None] for v in light], chroma))
+    return weight * (_clipped_huber(*light, share) + _clipped_huber(*chroma, share) + cosine * apart)
 
 
 def contextual(a: np.ndarray, b: np.ndarray, bandwidth: float = 0.5) -> float:

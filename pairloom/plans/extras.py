@@ -252,14 +252,15 @@ def _(spark, sf):
     return m.withColumn("kind", kind).select("vec_id", "kind", *_digest(out))
 
 
-def _pairs16(spark, sf):
+def _pairs16(spark, sf, rgb: bool = False):
     four = lambda c: F.concat(*[F.concat(F.slice(c, k * 8 + 1, 8), F.slice(c, k * 8 + 1, 8)) for k in range(8)] * 2)
-    return image_pairs(spark, sf).select("vec_id", F.lit(1).alias("c"), F.lit(16).alias("h"), F.lit(16).alias("w"), four("p").alias("lq"), four("q").alias("gt"))
+    planes = (lambda c: F.concat(four(c), F.reverse(four(c)), four(c))) if rgb else four
+    return image_pairs(spark, sf).select("vec_id", F.lit(3 if rgb else 1).alias("c"), F.lit(16).alias("h"), F.lit(16).alias("w"), planes("p").alias("lq"), planes("q").alias("gt"))
 
 
 for _name in spectral.LOSSES:
 
     def _loss(spark, sf, name=_name):
-        return spectral.pair_losses(_pairs16(spark, sf), "vec_id", [name]).withColumnRenamed(name, "value")
+        return spectral.pair_losses(_pairs16(spark, sf, name in ("CheckerboardLoss", "ConsistencyLoss")), "vec_id", [name]).withColumnRenamed(name, "value")
 
     query(_name)(_loss)
