@@ -43,9 +43,9 @@ _userinfo = re.compile(r"[^\s/?#@]+(?=@)").match
 #: What may stand between an announcing word and what it announces, then the identifier itself.
 _after = {
     "iban": re.compile(r"[:#\s]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])").match,
-    "ssn": re.compile(r"(?:\s+(?:no|number|nr))?\.?[:#\s]{0,4}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])").match,
-    "account": re.compile(r"(?:\s+(?:no|number|nr|num))?\.?[:#\s]{0,4}([0-9](?:[ -]?[0-9]){5,17})(?![0-9])").match,
-    "passport": re.compile(r"(?:\s+(?:no|number|nr))?\.?[:#\s]{0,4}([A-Z]{0,2}[0-9]{6,9})(?![A-Za-z0-9])").match,
+    "ssn": re.compile(r"(?:\s+(?i:no|number|nr))?\.?[:#\s]{0,4}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])").match,
+    "account": re.compile(r"(?:\s+(?i:no|number|nr|num))?\.?[:#\s]{0,4}([0-9](?:[ -]?[0-9]){5,17})(?![0-9])").match,
+    "passport": re.compile(r"(?:\s+(?i:no|number|nr))?\.?[:#\s]{0,4}([A-Z]{0,2}[0-9]{6,9})(?![A-Za-z0-9])").match,
     "secret": re.compile(r"[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"']{8,})").match,
 }
 
@@ -71,13 +71,20 @@ def _automaton() -> ahocorasick.Automaton:
     auto.add_word("+", ("plus", 1))
     auto.add_word("://", ("scheme", 3))
     for word, kind in CUES.items():
-        for form in {word, word.upper(), word.capitalize()}:
-            auto.add_word(form, (kind, len(form)))
+        auto.add_word(word, (kind, len(word)))
     auto.make_automaton()
     return auto
 
 
 _AUTO = None
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def lowered(text: str) -> str:
+    """ASCII letters in lower case, each at its place."""
+    low = text.lower()
+    # no other letter than the Kelvin sign becomes a single ASCII one
+    return low if len(low) == len(text) and "\u212a" not in text else text.translate(_LOWER)
 
 
 def spans_of(text: str) -> list[tuple[str, int, int]]:
@@ -88,7 +95,7 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
     out = []
     add = out.append
     email_end = ip_end = card_end = at_end = run_end = 0
-    for last, (what, size) in _AUTO.iter(text):
+    for last, (what, size) in _AUTO.iter(lowered(text)):
         at = last - size + 1
         if what == "digit":
             if at < run_end:
