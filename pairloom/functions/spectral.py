@@ -126,7 +126,7 @@ def contextual(a: np.ndarray, b: np.ndarray, bandwidth: float = 0.5) -> float:
 
 LOSSES = {
     "FFLoss": focal_frequency, "LaplacianPyramidLoss": laplacian_pyramid, "GradientVarianceLoss": gradient_variance, "CheckerboardLoss": checkerboard, "ConsistencyLoss": consistency,
-    "ContextualLoss": contextual, "SSIMLoss": lambda a, b: 1 - ssim(a, b, 1.0), "MSSIMLoss": lambda a, b: 1 - multiscale_ssim(a, b), "MSSSIML1Loss": lambda a, b: 0.84 * (1 - multiscale_ssim(a, b)) + 0.16 * float(np.abs(a - b).mean()),
+    "PixelContextualLoss": contextual, "SSIMLoss": lambda a, b: 1 - ssim(a, b, 1.0), "MSSIMLoss": lambda a, b: 1 - multiscale_ssim(a, b), "MSSSIML1Loss": lambda a, b: 0.84 * (1 - multiscale_ssim(a, b)) + 0.16 * float(np.abs(a - b).mean()),
     "BicubicLoss": lambda a, b: float(np.abs(resize(a, a.shape[1] // 2, a.shape[2] // 2) - resize(b, b.shape[1] // 2, b.shape[2] // 2)).mean()),
 }
 
