@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +18,7 @@ ROWS = 1024
 #: Text bytes handled at once inside a Python worker; a longer text is a piece of its own.
 PIECE_BYTES = 4 << 20
 
-#: Bytes that are white space in the contracts' word rule: space and \x09 to \x0D (what bytes.split() splits at).
+#: For bytes.translate: A-Z in lower case, all else as it is.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -65,6 +67,22 @@ def kept(key: tuple, make):
     return _KEPT[key]
 
 
+#: glibc's M_TRIM_THRESHOLD and M_MMAP_THRESHOLD.
+_MALLOPT = {-1: 16 << 20, -3: 2 << 20}
+_lean = False
+
+
+def lean() -> None:
+    """Makes this worker give large freed blocks back to the system, instead of keeping them for its next stage."""
+    global _lean
+    if not _lean:
+        pa.set_memory_pool(pa.system_memory_pool())
+        for what, size in _MALLOPT.items():
+            getattr(ctypes.CDLL(None), "mallopt", lambda *_: 0)(what, size)
+        _lean = True
+    getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)(0)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], by: str = "text", rows: int = ROWS, key: tuple | None = None) -> Iterator[pa.RecordBatch]:
     """
     Slices of the batches with few rows and few bytes of text. Workers go from stage to stage, so whatever another operator
@@ -74,6 +92,7 @@ def pieces(batches: Iterable[pa.RecordBatch], by: str = "text", rows: int = ROWS
         for k in others:
             del _KEPT[k]
         gc.collect()
+    lean()
     for batch in batches:
         at = 0
         sizes = pc.fill_null(pc.binary_length(batch.column(by)), 0).to_pylist()
@@ -99,6 +118,25 @@ def bundle(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def groups(batches: Iterable[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Of rows sorted by whole-number keys: the rows of each key."""
+    held, key = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        cuts = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+            now = tuple(int(c[a]) for c in columns)
+            if now != key and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = now
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 class Recent:
     """What a worker remembers of distinct words: two generations, so that words that come again stay. Only speed depends on its size."""
 

@@ -20,8 +20,8 @@ shard from a file of its own and answers the documents' queries by successor sea
 lead to a handful of candidates, the lower bits decide.
 
 Documents send, for each piece of rows, their distinct pairs with the rows that hold them; what comes back is sums for each
-row. Very frequent pairs (at least 1/HOT of all tokens, so HOT at most) are answered where the documents are, so that none
-is gathered in one task.
+row. Very frequent pairs (at least 1/HOT of all tokens, so HOT at most) are answered where the documents are, by the
+same quantised values, so that none is gathered in one task.
 
 Null and empty texts are one end token. Repeated rows count, and are scored, each for itself; other columns are not read. Without
 training documents every base score is 0. Words are known by a 64-bit hash.
@@ -31,7 +31,6 @@ from __future__ import annotations
 
 import os
 import struct
-import tempfile
 from collections import Counter
 from dataclasses import dataclass
 
@@ -49,8 +48,8 @@ HEAD, HOT = 65_000, 50_000
 AFTER = 1 << 17
 MUS = (10.0, 30.0, 100.0, 300.0, 1000.0, 3000.0, 10_000.0, 100_000.0)
 #: Words counted before a task hands its counts on; tokens of which a shard of pairs, or words a shard of counts, has about this many.
-COUNTED, SHARD_PAIRS, SHARD_WORDS = 400_000, 3_000_000, 250_000
-ROWS, HELD = 8192, 3_000_000
+COUNTED, SHARD_PAIRS, SHARD_WORDS = 300_000, 2_000_000, 250_000
+ROWS, HELD = 8192, 2_000_000
 
 
 class EliasFano:
@@ -124,25 +123,47 @@ class EliasFano:
         return (ones - np.arange(self.n)) << self.low | self.lows(np.arange(self.n))
 
 
+def quantised(values: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """16-bit codes, and the least value and the step that read them."""
+    least, most = (float(values.min()), float(values.max())) if len(values) else (0.0, 0.0)
+    step = (most - least) / 65535 or 1.0
+    return np.round((values - least) / step).astype("<u2"), least, step
+
+
+_ZSTD = pa.Codec("zstd", 1)
+
+
+def squeezed(values: np.ndarray, rising: bool = False) -> bytes:
+    """Whole numbers for a shuffle: differences if they rise, byte by byte, compressed."""
+    values = np.diff(values, prepend=values.dtype.type(0)) if rising else values
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+    return struct.pack("<q", planes.nbytes) + _ZSTD.compress(planes.tobytes(), asbytes=True)
+
+
+def loosened(data, kind: str, rising: bool = False) -> np.ndarray:
+    size = struct.unpack("<q", bytes(data[:8]))[0]
+    planes = np.frombuffer(_ZSTD.decompress(pa.py_buffer(data)[8:] if size else b"", size) if size else b"", np.uint8)
+    values = np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+    return np.cumsum(values, dtype=values.dtype) if rising else values
+
+
 def pack_trie(pairs: np.ndarray, values: np.ndarray) -> bytes:
     """pairs: distinct u << 16 | w, sorted; values: to be quantised to 16 bits."""
     contexts, starts = np.unique(pairs >> 16, return_index=True)
     rank = np.repeat(np.arange(len(contexts)), np.diff(np.append(starts, len(pairs))))
-    least, most = (float(values.min()), float(values.max())) if len(values) else (0.0, 0.0)
-    step = (most - least) / 65535 or 1.0
+    codes, least, step = quantised(values)
     return (
         struct.pack("<qdd", len(contexts), least, step) + contexts.astype("<u2").tobytes() + EliasFano.pack(starts.astype(np.int64), len(pairs) + 1)
-        + EliasFano.pack(rank << 16 | (pairs & 65535), len(contexts) << 16) + np.round((values - least) / step).astype("<u2").tobytes()
+        + EliasFano.pack(rank << 16 | (pairs & 65535), len(contexts) << 16) + codes.tobytes()
     )
 
 
 def mapped(blob) -> np.ndarray:
-    handle, path = tempfile.mkstemp(suffix=".trie")
-    with os.fdopen(handle, "wb") as f:
+    """The blob as a mapped file that lives in memory only."""
+    with os.fdopen(os.memfd_create("trie"), "w+b") as f:
         f.write(blob)
-    data = np.memmap(path, np.uint8, "r")
-    os.unlink(path)
-    return data
+        f.flush()
+        return np.memmap(f, np.uint8, "r")
 
 
 class Trie:
@@ -174,11 +195,10 @@ def pack_rare(words: np.ndarray, others: np.ndarray, counts: np.ndarray, values:
     """words, others: distinct pairs, sorted; counts: how often each distinct word occurs; values: to be quantised to 16 bits."""
     known, rank = np.unique(words, return_inverse=True)
     second, place = np.unique(others, return_inverse=True)
-    least, most = (float(values.min()), float(values.max())) if len(values) else (0.0, 0.0)
-    step = (most - least) / 65535 or 1.0
+    codes, least, step = quantised(values)
     return (
         struct.pack("<qqdd", len(known), len(second), least, step) + known.astype("<u8").tobytes() + counts.astype("<i8").tobytes() + second.astype("<i8").tobytes()
-        + EliasFano.pack(rank * len(second) + place, len(known) * len(second)) + np.round((values - least) / step).astype("<u2").tobytes()
+        + EliasFano.pack(rank * len(second) + place, len(known) * len(second)) + codes.tobytes()
     )
 
 
@@ -331,7 +351,7 @@ def by_word(words: np.ndarray, others: np.ndarray, shards: int, rows: np.ndarray
             starts = np.flatnonzero(fresh | np.concatenate([[True], o[1:] != o[:-1]]))
             firsts = np.flatnonzero(fresh[starts])
             sizes, times = np.diff(np.append(firsts, len(starts))), np.diff(np.append(starts, b - a))
-            yield k, w[starts[firsts]].tobytes(), sizes.astype("<u4").tobytes(), o[starts].tobytes(), times.astype("<u4").tobytes(), None if rows is None else rows[a:b].tobytes()
+            yield k, squeezed(w[starts[firsts]], True), squeezed(sizes.astype("<u4")), squeezed(o[starts]), squeezed(times.astype("<u4")), None if rows is None else squeezed(rows[a:b])
 
 
 #: kind 0: pairs of frequent words (in pairs, 32 bits each); 1: pairs of rare words (words, and sizes of their pairs, 64 bits each).
@@ -340,11 +360,12 @@ _COUNTS = pa.schema([("kind", pa.int32()), ("shard", pa.int64()), ("words", pa.b
 
 def shards_of(base: Base) -> tuple[int, int]:
     """How many shards of pairs of frequent words, and of rare words."""
-    return max(1, -(-base.total // SHARD_PAIRS)), max(1, -(-base.distinct // SHARD_WORDS))
+    rare = int(base.counts[0])
+    return max(1, -(-base.total // SHARD_PAIRS)), max(1, -(-base.distinct // SHARD_WORDS), -(-2 * rare // SHARD_PAIRS))
 
 
-def learn_pairs(docs: DataFrame, base: Base, text_col: str = "text") -> tuple[DataFrame, dict[int, int], float]:
-    """The tries' shards (a table), the hot pairs with their counts, and mu."""
+def learn_pairs(docs: DataFrame, base: Base, text_col: str = "text") -> tuple[DataFrame, dict[int, float], float]:
+    """The tries' shards (a table), the hot pairs with their values, and mu."""
     shards, rare_shards = shards_of(base)
     hot_from, shares = max(2, -(-base.total // HOT)), base.share(base.counts)
 
@@ -357,7 +378,7 @@ def learn_pairs(docs: DataFrame, base: Base, text_col: str = "text") -> tuple[Da
             order = np.argsort(shard, kind="stable")
             cuts = np.searchsorted(shard[order], np.arange(shards + 1))
             pairs, n = pairs[order].astype("<u4"), n[order].astype("<u4")
-            rows = [(0, k, None, None, pairs[a:b].tobytes(), n[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            rows = [(0, k, None, None, squeezed(pairs[a:b], True), squeezed(n[a:b])) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
             rows += [(1, *x[:5]) for x in by_word(*(np.concatenate(x) for x in zip(*rare, strict=True)), rare_shards)]
             for at in range(0, len(rows), 64):
                 yield bundle(_COUNTS, *map(list, zip(*rows[at : at + 64], strict=True)))
@@ -384,33 +405,35 @@ def learn_pairs(docs: DataFrame, base: Base, text_col: str = "text") -> tuple[Da
         return [k[starts] for k in keys], np.add.reduceat(n, starts)
 
     def build(table: pa.Table) -> pa.Table:
-        def all_of(column, kind):
-            return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(column)])
+        def all_of(column, kind, rising=False):
+            return np.concatenate([loosened(x.as_buffer(), kind, rising) for x in table.column(column)])
 
         n = all_of("counts", "<u4").astype(np.int64)
         if table.column("kind")[0].as_py() == 0:
-            (pairs,), n = summed((all_of("pairs", "<u4").astype(np.int64),), n)
+            (pairs,), n = summed((all_of("pairs", "<u4", True).astype(np.int64),), n)
             p, hot = shares[pairs & 65535], n >= hot_from
-            trie, hot_pairs, hot_counts = pack_trie(pairs, np.log10(n / p)), pairs[hot], n[hot]
+            values = np.log10(n / p)
+            codes, least, step = quantised(values)
+            trie, hot_pairs, hot_values = pack_trie(pairs, values), pairs[hot], codes[hot] * step + least
         else:
-            (others, words), n = summed((all_of("pairs", "<i8"), np.repeat(all_of("words", "<u8"), all_of("sizes", "<u4"))), n)
+            (others, words), n = summed((all_of("pairs", "<i8"), np.repeat(all_of("words", "<u8", True), all_of("sizes", "<u4"))), n)
             last = ends_in_word(others)
             starts = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
             counts = np.add.reduceat(n * last, starts)  # all tokens of a word end a pair, and all these pairs are here
             p = base.share(np.repeat(counts, np.diff(np.append(starts, len(words)))))
             p[~last] = shares[others[~last] - AFTER]
-            trie, hot_pairs, hot_counts = pack_rare(words, others, counts, np.log10(n / p)), n[:0], n[:0]
+            trie, hot_pairs, hot_values = pack_rare(words, others, counts, np.log10(n / p)), n[:0], np.zeros(0)
         fit = [float((n * np.log(n - 1 + mu * p)).sum()) for mu in MUS]
         return pa.table({
             "kind": table.column("kind").slice(0, 1), "shard": table.column("shard").slice(0, 1), "trie": pa.array([trie], pa.binary()), "hot": pa.array([hot_pairs.tobytes()], pa.binary()),
-            "hot_counts": pa.array([hot_counts.tobytes()], pa.binary()), "fit": pa.array([fit], pa.list_(pa.float64())),
+            "hot_values": pa.array([hot_values.tobytes()], pa.binary()), "fit": pa.array([fit], pa.list_(pa.float64())),
         })
 
     counted = docs.select(text_col).mapInArrow(run, "kind int, shard long, words binary, sizes binary, pairs binary, counts binary")
-    made = counted.groupBy("kind", "shard").applyInArrow(build, "kind int, shard long, trie binary, hot binary, hot_counts binary, fit array<double>")
+    made = counted.groupBy("kind", "shard").applyInArrow(build, "kind int, shard long, trie binary, hot binary, hot_values binary, fit array<double>")
     made = written(made, "trie")
-    known = made.where("kind = 0").select("hot", "hot_counts").collect()  # HOT pairs at most, as all counts add up to N
-    hot = {k: v for r in known for k, v in zip(np.frombuffer(bytes(r.hot), np.int64).tolist(), np.frombuffer(bytes(r.hot_counts), np.int64).tolist(), strict=True)}
+    known = made.where("kind = 0").select("hot", "hot_values").collect()  # HOT pairs at most, as all counts add up to N
+    hot = {k: v for r in known for k, v in zip(np.frombuffer(bytes(r.hot), np.int64).tolist(), np.frombuffer(bytes(r.hot_values)).tolist(), strict=True)}
     fits = made.agg(*[F.sum(F.col("fit")[k]) for k in range(len(MUS))]).first()
     return made.select("kind", "shard", "trie"), hot, MUS[int(np.argmax(np.array([x or 0.0 for x in fits]) - base.contexts))]
 
@@ -430,15 +453,15 @@ def _grouped(pairs: np.ndarray, rows: np.ndarray, shards: int):
         if b > a:
             starts = np.flatnonzero(np.concatenate([[True], pairs[a + 1 : b] != pairs[a : b - 1]]))
             times = np.diff(np.append(starts, b - a)).astype("<u4")
-            yield k, None, None, pairs[a:b][starts].astype("<u4").tobytes(), times.tobytes(), rows[a:b].tobytes()
+            yield k, None, None, squeezed(pairs[a:b][starts].astype("<u4"), True), squeezed(times), squeezed(rows[a:b])
 
 
-def score(docs: DataFrame, base: Base, trie: DataFrame, hot: dict[int, int], mu: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, base: Base, trie: DataFrame, hot: dict[int, float], mu: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_tokens, n_known, base_score, score."""
     kind = docs.schema[id_col].dataType.simpleString()
     shards, rare_shards = shards_of(base)
     hot_pairs = np.array(sorted(hot), np.int64)
-    hot_gain = np.log10(1 + np.array([hot[k] for k in hot_pairs.tolist()], np.float64) / (mu * base.share(base.counts[hot_pairs & 65535]))) if hot else np.zeros(0)
+    hot_gain = np.log10(1 + 10 ** np.array([hot[k] for k in hot_pairs.tolist()], np.float64) / mu)
     log_counts, miss, seen = np.log10(base.counts + 1), np.log10(mu / (base.counts + mu)), (base.counts > 0).astype(np.float64)
     log_counts[0] = miss[0] = seen[0] = 0  # rare words' shards know these
     each = np.log10(base.total + base.distinct + 1)
@@ -483,11 +506,11 @@ def score(docs: DataFrame, base: Base, trie: DataFrame, hot: dict[int, int], mu:
         blob = model.column("trie")[0].as_buffer() if model.num_rows else None
 
         def of_pairs(shard, words, sizes, pairs):
-            pairs = np.frombuffer(pairs, "<u4").astype(np.int64)
+            pairs = loosened(pairs, "<u4", True).astype(np.int64)
             return None, None, np.log10(1 + 10 ** shard.find(pairs) / mu) if shard else np.zeros(len(pairs))
 
         def of_words(shard, words, sizes, pairs):
-            words, sizes, others = np.frombuffer(words, "<u8"), np.frombuffer(sizes, "<u4"), np.frombuffer(pairs, "<i8")
+            words, sizes, others = loosened(words, "<u8", True), loosened(sizes, "<u4"), loosened(pairs, "<i8")
             counts, value = shard.find(words, sizes, others) if shard else (np.zeros(len(words), np.int64), np.full(len(others), -np.inf))
             # a token of a rare word ends one of its pairs, where it is counted both as a word and as the next one's context
             last = ends_in_word(others)
@@ -500,7 +523,7 @@ def score(docs: DataFrame, base: Base, trie: DataFrame, hot: dict[int, int], mu:
         for piece, *asked_for in zip(*(table.column(c) for c in ("piece", "words", "sizes", "pairs", "times", "rows")), strict=True):
             words, sizes, pairs, times, rows = (x.as_buffer() for x in asked_for)
             tail, known, gain = value(shard, words, sizes, pairs)
-            times, rows = np.frombuffer(times, "<u4"), np.frombuffer(rows, "<u2").astype(np.int64)
+            times, rows = loosened(times, "<u4"), loosened(rows, "<u2").astype(np.int64)
             mine, at = np.unique(rows, return_inverse=True)
             sums = [np.zeros(len(mine)) if v is None else np.bincount(at, np.repeat(v, times), minlength=len(mine)) for v in (tail, known, gain)]
             out.append((piece.as_py(), mine.astype("<u2").tobytes(), *(s.tobytes() for s in sums), None, None))
