@@ -1,14 +1,16 @@
 """Token counts by rank-synchronous array merging.
 
-Pre-tokens are held as ragged NumPy arrays of symbols; in each round every sequence merges its lowest-ranked pair (the
-leftmost of equals), all sequences at once, until none has a pair left. The symbols that survive are the tokens.
+Pre-tokens are held as ragged NumPy arrays of symbols; in each round every sequence merges its lowest-ranked pair, all
+sequences at once, until none has a pair left. The symbols that survive are the tokens. A round takes the places of the
+lowest rank from left to right, without overlaps, up to the first whose merge makes a pair of the same or a lower rank
+beside it: that one is the next to be merged, and the places behind it wait for a later round. So a long pre-token takes
+about as many rounds as it has different pairs, whatever its length.
 
 Nulls and empty texts have no tokens; repeated rows are counted each for itself; other columns are not read.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 
 import numpy as np
@@ -20,8 +22,10 @@ from pairloom.llm.common import Recent, as_texts, bundle, kept, pieces
 
 #: Distinct pre-tokens in each generation of counts that a worker remembers.
 REMEMBERED = 400_000
-#: A longer pre-token is merged with a heap, in time n log n, instead of n rounds over n symbols.
-LONG = 192
+
+
+def _changes(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([[True], x[1:] != x[:-1]])
 
 
 class PieceCounter:
@@ -44,7 +48,7 @@ class PieceCounter:
         ranks = np.array([self.order[s] for s in pieces_.values()], np.int64)
         #: (left, right) -> merged, for every way to cut a piece in two pieces
         cuts = {(self.ids[p[:k]], self.ids[p[k:]]): i for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids}
-        self.merges, self.ranks, n = cuts, ranks, len(self.ids)
+        self.ranks, n = ranks, len(self.ids)
         keys = np.array([a * n + b for a, b in cuts], np.int64)
         order = np.argsort(keys)
         self.keys, self.merged = keys[order], np.array(list(cuts.values()), np.int64)[order]
@@ -64,57 +68,17 @@ class PieceCounter:
         """Tokens of a character that no piece has."""
         return len(char.encode()) if self.bytes_fall_back else 1
 
-    def _long(self, word: str) -> int:
-        """One long pre-token, with a heap of the pairs in order of rank, then place."""
-        ids, n = [self.ids.get(c, -1) for c in word], len(word)
-        nxt, prv, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
-
-        def offer(i: int) -> None:
-            j = nxt[i]
-            if j < n and (m := self.merges.get((ids[i], ids[j]))) is not None:
-                heapq.heappush(heap, (int(self.ranks[m]), i, ids[i], ids[j], m))
-
-        for i in range(n - 1):
-            offer(i)
-        alive = n
-        gone = bytearray(n)
-        while heap:
-            _, i, a, b, m = heapq.heappop(heap)
-            if gone[i] or ids[i] != a or (j := nxt[i]) >= n or ids[j] != b:
-                continue
-            ids[i], gone[j], nxt[i] = m, 1, nxt[j]
-            if nxt[j] < n:
-                prv[nxt[j]] = i
-            alive -= 1
-            if prv[i] >= 0:
-                offer(prv[i])
-            offer(i)
-        return alive + sum(self.width(word[i]) - 1 for i in range(n) if ids[i] < 0 and not gone[i])
-
     def count_words(self, words: list[str]) -> list[int]:
         """The tokens of each pre-token."""
-        out = np.zeros(len(words), np.int64)
-        short = [i for i, w in enumerate(words) if len(w) <= LONG]
-        for i, w in enumerate(words):
-            if len(w) > LONG:
-                out[i] = self._long(w)
-        if not short:
-            return out.tolist()
-        get = self.ids.get
-        lengths = np.array([len(words[i]) for i in short], np.int64)
-        text = "".join(words[i] for i in short)
+        out, get = np.zeros(len(words), np.int64), self.ids.get
+        text = "".join(words)
         symbols = np.fromiter((get(c, -1) for c in text), np.int64, len(text))
-        row = np.repeat(np.array(short, np.int64), lengths)
+        row = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
         for at in np.flatnonzero(symbols < 0).tolist():
             out[row[at]] += self.width(text[at]) - 1
         pair = np.append(self.pairs(symbols[:-1], symbols[1:], row[:-1] == row[1:]), -1)  # what each symbol and the next merge to
         while len(symbols):
-            spot = np.flatnonzero(pair >= 0)
-            # the least (rank, place) of each sequence
-            rank = self.ranks[pair[spot]] * (len(symbols) + 1) + spot
-            owner = row[spot]
-            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(spot) else spot
-            spot = np.minimum.reduceat(rank, first) % (len(symbols) + 1) if len(spot) else spot
+            spot = self.mergeable(symbols, row, pair)
             symbols[spot] = pair[spot]
             live = np.zeros(len(words), bool)
             live[row[spot]] = True
@@ -128,6 +92,28 @@ class PieceCounter:
                 pair[at] = self.pairs(symbols[at], symbols[nxt], (row[at] == row[nxt]) & (at != nxt))
         return out.tolist()
 
+    def mergeable(self, symbols: np.ndarray, row: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        """Places of the lowest rank of each sequence that merging one by one, leftmost first, takes next, one after another."""
+        spot = np.flatnonzero(pair >= 0)
+        if not len(spot):
+            return spot
+        rank, firsts = self.ranks[pair[spot]], np.flatnonzero(_changes(row[spot]))
+        rank_of = np.repeat(np.minimum.reduceat(rank, firsts), np.diff(np.append(firsts, len(spot))))
+        spot, rank = spot[rank == rank_of], rank[rank == rank_of]
+        # of overlapping places every other one
+        order, fresh = np.arange(len(spot)), np.concatenate([[True], (spot[1:] != spot[:-1] + 1) | (row[spot[1:]] != row[spot[:-1]])])
+        odd = (order - np.maximum.accumulate(np.where(fresh, order, 0))) & 1 == 1
+        spot, rank = spot[~odd], rank[~odd]
+        merged, own = pair[spot], row[spot]
+        before, after = np.maximum(spot - 1, 0), np.minimum(spot + 2, len(symbols) - 1)
+        beside = np.concatenate([[False], spot[1:] == spot[:-1] + 2])
+        left = self.pairs(np.where(beside, np.concatenate([merged[:1], merged[:-1]]), symbols[before]), merged, (spot > 0) & (row[before] == own))
+        right = self.pairs(merged, symbols[after], (spot + 2 < len(symbols)) & (row[after] == own))
+        stop = (left >= 0) & (self.ranks[left] <= rank) | (right >= 0) & (self.ranks[right] <= rank)
+        stops = np.cumsum(stop) - stop
+        firsts = np.flatnonzero(_changes(own))
+        return spot[stops == np.repeat(stops[firsts], np.diff(np.append(firsts, len(spot))))]
+
     def count(self, texts: list[str]) -> list[int]:
         cut = [self.cut(self.prefix + t.replace("▁", " ")) if t else [] for t in texts]
         new = list(self.known.missing(set().union(*cut)))
