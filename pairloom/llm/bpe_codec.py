@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pairloom.llm.common import Recent, as_texts, bundle, kept, pieces
 
 #: Distinct stretches of text in each generation, and pairs of tokens, that a worker remembers.
-REMEMBERED, PAIRS = 150_000, 400_000
+REMEMBERED, PAIRS = 80_000, 200_000
 #: Unicode white space, and the published pre-token pattern of byte-level BPE.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -178,17 +178,18 @@ def codec(path: str) -> BpeCodec:
     return kept(("bpe", path), lambda: BpeCodec(path))
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_tokens and ids (packed)."""
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """One row per input row: id, n_tokens and ids (packed), and if asked for decoded, the text of the packed ids (by the same worker)."""
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for piece in pieces(batches, text_col, key=("bpe", path)):
             ids, packed = piece.column(id_col), codec(path).encode(as_texts(piece.column(text_col)))
-            schema = pa.schema([(id_col, ids.type), ("n_tokens", pa.int64()), ("ids", pa.binary())])
-            yield bundle(schema, ids, [len(p) // 4 for p in packed], packed)
+            more = [codec(path).decode(packed)] * decoded
+            schema = pa.schema([(id_col, ids.type), ("n_tokens", pa.int64()), ("ids", pa.binary()), *[("decoded", pa.string())] * decoded])
+            yield bundle(schema, ids, [len(p) // 4 for p in packed], packed, *more)
 
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary")
+    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary{', decoded string' * decoded}")
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -25,7 +25,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    both = bpe_codec.decode(bpe_codec.encode(read(spark, sf_dir, "documents", "doc_id", "text"), path), path)
+    both = bpe_codec.encode(read(spark, sf_dir, "documents", "doc_id", "text"), path, decoded=True)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
