@@ -34,7 +34,7 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (packed little-endian unsigned 32-bit integers) and the digest of the decoded text."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    both = bpe_codec.decode(bpe_codec.encode(docs, path), path)
+    both = bpe_codec.encode(docs, path, decoded=True)
     return both.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
