@@ -13,12 +13,12 @@ if there are fewer); whole texts count.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +28,8 @@ TOP, SIZES, TRAIN_DOCS = 300, (1, 2, 3), 5_000
 #: Distinct words in each generation that a worker remembers, and n-grams that it numbers before it begins anew.
 WORDS, GRAMS = 100_000, 100_000
 
-_words = re.compile(r"[^\W\d_]+").findall
+#: Letters with the marks that follow them; superscripts, fractions and numerals that are no letters do not count.
+_words = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
 
 
 def grams_of(word: str) -> list[str]:
