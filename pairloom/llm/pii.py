@@ -154,7 +154,8 @@ def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
     count = [F.size(F.filter("spans", of(k))).cast("long").alias(f"n_{k}") for k in BASE]
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
-    return found.select(id_col, *count, F.sha2(written_spans(base), 256).alias("base_sha256"), written_spans(F.col("spans")).alias("spans"))
+    every = [F.size("spans").cast("long").alias("n_spans"), (F.size("spans") > 0).alias("has_pii")]
+    return found.select(id_col, *count, F.sha2(written_spans(base), 256).alias("base_sha256"), written_spans(F.col("spans")).alias("spans"), *every)
 
 
 def redacted(text: str) -> str:
