@@ -5,6 +5,10 @@ and three words wide pass over the whole text, each filter's greatest response i
 into a score, which a held-back part of the training rows calibrates. For each language that part also gives the threshold
 with the best F1; the language takes no part in the score.
 
+Training begins, unless evidence=False, with each word's weight of evidence (log odds of its documents) as one of its
+numbers, which half of the filters average at first; from there all weights are trained. A random start learns as well, but
+from few labels less (README).
+
 The model is trained in NumPy on about TRAIN_DOCS labelled rows, chosen by a hash of the id, fewer where texts are so long
 that they would hold over TRAIN_WORDS words; their whole texts count. The model's size is fixed (about 8 MB).
 
@@ -106,24 +110,35 @@ def stacked(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return out, ends - sizes, ends
 
 
-def _start(texts: list[np.ndarray], toxic: np.ndarray, rng: np.random.Generator) -> Classifier:
-    """Small random rows; the first number of each is the word's weight of evidence in the training texts."""
+#: Training documents in which a hashed word occurs at least, to have an embedding of its own in a random start.
+SEEN = 4
+
+
+def _start(texts: list[np.ndarray], toxic: np.ndarray, rng: np.random.Generator, evidence: bool) -> Classifier:
+    """Small random rows; with evidence, the first number of each is the word's weight of evidence in the training texts, and half of the filters begin as its average."""
     rows = 1 << BITS
     tables = []
     for low in (True, False):
         seen = np.zeros((2, rows))
         for words, y in zip(texts, toxic, strict=True):
             seen[int(y)][np.unique(words & (rows - 1) if low else words >> (32 - BITS))] += 1
-        share = (seen + 0.5) / (np.bincount(toxic, minlength=2)[:, None] + 1)
-        evidence = np.where(seen.sum(0) > 0, np.log(share[1] / share[0]), 0) * np.minimum(1, seen.sum(0) / 4)
-        table = rng.normal(0, 0.05, (rows + 1, HALF)).astype(np.float32)
-        table[:rows, 0] = np.clip(evidence, -3, 3) / 3
+        table = rng.normal(0, 0.05 if evidence else 0.1, (rows + 1, HALF)).astype(np.float32)
+        if evidence:
+            share = (seen + 0.5) / (np.bincount(toxic, minlength=2)[:, None] + 1)
+            weight = np.where(seen.sum(0) > 0, np.log(share[1] / share[0]), 0) * np.minimum(1, seen.sum(0) / 4)
+            table[:rows, 0] = np.clip(weight, -3, 3) / 3
+        else:
+            table[:rows][seen.sum(0) < SEEN] = 0
         table[rows] = 0
         tables.append(table)
+    n = len(WIDTHS) * FILTERS
+    if not evidence:
+        filters = [rng.normal(0, (w * 2 * HALF) ** -0.5, (w, 2 * HALF, FILTERS)).astype(np.float32) for w in WIDTHS]
+        return Classifier(*tables, filters, [np.zeros(FILTERS, np.float32) for _ in WIDTHS], rng.normal(0, 0.3, n).astype(np.float32), -1.0)
     filters = [rng.normal(0, 0.15, (w, 2 * HALF, FILTERS)).astype(np.float32) for w in WIDTHS]
     for f in filters:
         f[:, [0, HALF], : FILTERS // 2] = 1.0 / len(f)
-    return Classifier(*tables, filters, [np.full(FILTERS, -0.2, np.float32) for _ in WIDTHS], rng.normal(0, 0.1, len(WIDTHS) * FILTERS).astype(np.float32), -2.0)
+    return Classifier(*tables, filters, [np.full(FILTERS, -0.2, np.float32) for _ in WIDTHS], rng.normal(0, 0.1, n).astype(np.float32), -2.0)
 
 
 class _Adam:
@@ -137,11 +152,12 @@ class _Adam:
         return self.rate * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.99**self.t)) + 1e-8)
 
 
-def fit(texts: list[np.ndarray], toxic: list[int], langs: list[str], epochs: int = 4, batch: int = 32, seed: int = 7) -> Classifier:
-    """texts: hashes as int64. Every fifth row is held back for calibration."""
+def fit(texts: list[np.ndarray], toxic: list[int], langs: list[str], epochs: int | None = None, batch: int = 32, seed: int = 7, evidence: bool = True) -> Classifier:
+    """texts: hashes as int64. Every fifth row is held back for calibration. epochs: 4 from a start by evidence, 8 from a random one."""
+    epochs = epochs or (4 if evidence else 8)
     toxic = np.asarray(toxic, np.int64)
     rng = np.random.default_rng(seed)
-    model = _start(texts[:1], np.zeros(1, np.int64), rng) if texts else Classifier(np.zeros((1, 1)), np.zeros((1, 1)), [], [], np.zeros(0), 0.0)
+    model = _start(texts[:1], np.zeros(1, np.int64), rng, evidence) if texts else Classifier(np.zeros((1, 1)), np.zeros((1, 1)), [], [], np.zeros(0), 0.0)
     if len(set(toxic.tolist())) < 2:
         model.constant = float(toxic.mean()) if len(toxic) else 0.0
         return model
@@ -149,7 +165,7 @@ def fit(texts: list[np.ndarray], toxic: list[int], langs: list[str], epochs: int
     back, train = order[::5], np.array([i for k, i in enumerate(order) if k % 5])
     if len(set(toxic[train].tolist())) < 2:
         train = back = order
-    model = _start([texts[i] for i in train], toxic[train], rng)
+    model = _start([texts[i] for i in train], toxic[train], rng, evidence)
     dense = [_Adam(x, 0.005) for x in (*model.filters, *model.offsets, model.weights)]
     bias = _Adam(np.zeros(1), 0.005)
     squares = [np.full(len(model.first), 1e-3, np.float32) for _ in range(2)]
@@ -188,7 +204,8 @@ def fit(texts: list[np.ndarray], toxic: list[int], langs: list[str], epochs: int
                 total = np.zeros((len(ids), HALF), np.float32)
                 np.add.at(total, inverse, part)
                 square[ids] += (total**2).mean(1)
-                table[ids] -= 0.05 * total / np.sqrt(square[ids])[:, None]
+                step = 0.05 * total / np.sqrt(square[ids])[:, None]
+                table[ids] -= step if evidence else step * (table[ids] != 0)
     logits = model.pooled([texts[i] for i in back]) @ model.weights + model.bias
     model.scale, model.shift = _calibrated(logits.astype(np.float64), toxic[back])
     scores = sigmoid(logits * model.scale + model.shift)
@@ -220,7 +237,7 @@ def _threshold(scores: np.ndarray, toxic: np.ndarray) -> float:
     return float((scores[order[k]] + below) / 2)
 
 
-def learn(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_words: int = TRAIN_WORDS) -> Classifier:
+def learn(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_words: int = TRAIN_WORDS, evidence: bool = True) -> Classifier:
     """docs: doc_id, text, lang. labels: doc_id, toxic. Only the sample's ids are broadcast and only its hashed words are collected."""
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     n = marked.count()
@@ -239,7 +256,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, trai
             yield bundle(schema, piece.column("place"), piece.column("lang"), piece.column("toxic"), words)
 
     rows = sorted(chosen.mapInArrow(run, "place long, lang string, toxic int, words binary").collect(), key=lambda r: (r.place, bytes(r.words)))
-    return fit([np.frombuffer(bytes(r.words), "<u4").astype(np.int64) for r in rows], [r.toxic for r in rows], [r.lang or "" for r in rows])
+    return fit([np.frombuffer(bytes(r.words), "<u4").astype(np.int64) for r in rows], [r.toxic for r in rows], [r.lang or "" for r in rows], evidence=evidence)
 
 
 def score(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = None) -> DataFrame:
