@@ -110,25 +110,40 @@ def huber(a: Column, b: Column, delta: float = 1.0) -> Column:
     return _pairwise(a, b, lambda x, y: F.when(F.abs(x - y) < delta, 0.5 * (x - y) * (x - y)).otherwise(delta * (F.abs(x - y) - 0.5 * delta)))
 
 
-def clipped_l1(a: Column, b: Column, low: float = 0.003921, high: float = 0.996) -> Column:
-    """Absolute differences below low count as nothing, above high as high."""
-    return _pairwise(a, b, lambda x, y: F.when(F.abs(x - y) < low, 0.0).otherwise(F.least(F.lit(high), F.abs(x - y))))
+def pixel_cosine(a: Column, b: Column, channels: int, eps: float = 1e-20) -> Column:
+    """Mean over the pixels of the cosine between two images' channels (stored one after another)."""
+    size = F.floor(F.size(a) / channels)
 
+    def at(k):
+        def over(f):
+            return F.aggregate(F.sequence(F.lit(0), F.lit(channels - 1)), F.lit(0.0), lambda s, c: s + f(F.get(a, (c * size + k).cast("int")), F.get(b, (c * size + k).cast("int"))))
 
-def psnr_loss(a: Column, b: Column) -> Column:
-    return 10.0 / F.log(F.lit(10.0)) * F.log(mse(a, b) + 1e-8)
+        return over(lambda x, y: x * y) / (F.greatest(F.sqrt(over(lambda x, y: x * x)), F.lit(eps)) * F.greatest(F.sqrt(over(lambda x, y: y * y)), F.lit(eps)))
+
+    return mean(F.transform(F.sequence(F.lit(0), size - 1), at))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    dot = total(F.zip_with(a, b, lambda x, y: x * y))
-    return dot / F.sqrt(total(F.transform(a, lambda x: x * x)) * total(F.transform(b, lambda x: x * x)))
+def cosim(a: Column, b: Column, channels: int, share: float = 5.0) -> Column:
+    """share times the mean cosine distance of the pixels, of values clamped to 1e-12..1."""
+    clamped = lambda x: F.transform(x, lambda v: F.greatest(F.lit(1e-12), F.least(F.lit(1.0), v)))
+    return let(F.struct(clamped(a).alias("a"), clamped(b).alias("b")), lambda v: share * (1.0 - pixel_cosine(v["a"], v["b"], channels)))
+
+
+def clipped_huber_cosine(a: Column, b: Column, channels: int, share: float = 0.0, low: float = 1 / 255, high: float = 254 / 255) -> Column:
+    """Pseudo-Huber distance of each value with a share of the pixels' mean cosine distance, clipped to low..high."""
+    base = lambda x, y: F.sqrt((x - y) * (x - y) + 1e-12)
+    return let(share * (1.0 - pixel_cosine(a, b, channels)), lambda more: _pairwise(a, b, lambda x, y: F.greatest(F.lit(low), F.least(F.lit(high), base(x, y) + more))))
+
+
+def psnr_loss(a: Column, b: Column) -> Column:
+    return 10.0 / F.log(F.lit(10.0)) * F.log(mse(a, b) + 1e-8)
 
 
 def ncc(a: Column, b: Column) -> Column:
-    """1 less the normalised cross-correlation."""
+    """1 less the normalised cross-correlation of one band, moved to 0..1."""
     ma, mb = mean(a), mean(b)
     va, vb = _pairwise(a, a, lambda x, y: x * y) - ma * ma, _pairwise(b, b, lambda x, y: x * y) - mb * mb
-    return 1.0 - (_pairwise(a, b, lambda x, y: x * y) - ma * mb) / F.sqrt(va * vb)
+    return 1.0 - 0.5 * (1.0 + (_pairwise(a, b, lambda x, y: x * y) - ma * mb) / F.sqrt(va * vb))
 
 
 def bce_with_logits(a: Column, target: Column) -> Column:
@@ -137,15 +152,19 @@ def bce_with_logits(a: Column, target: Column) -> Column:
 
 def dice(a: Column, target: Column, eps: float = 1e-6) -> Column:
     p = F.transform(a, lambda x: 1.0 / (1.0 + F.exp(-x)))
-    return 1.0 - (2.0 * total(F.zip_with(p, target, lambda x, t: x * t)) + eps) / (total(p) + total(target) + eps)
+    return 1.0 - 2.0 * total(F.zip_with(p, target, lambda x, t: x * t)) / (total(p) + total(target) + eps)
+
+
+def total_variation(pixels: Column, h: int, w: int, eps: float = 1e-6) -> Column:
+    """Mean length of the step to the right and down; 0 beyond the last column and row."""
 
+    def at(i):
+        here = F.get(pixels, i)
+        across = F.when(i % w < w - 1, F.get(pixels, i + 1) - here).otherwise(0.0)
+        down = F.when(i < (h - 1) * w, F.get(pixels, i + w) - here).otherwise(0.0)
+        return F.sqrt(across * across + down * down + eps)
 
-def total_variation(pixels: Column, h: int, w: int) -> Column:
-    """Mean absolute step across columns plus that across rows."""
-    step = lambda count, a, b: F.aggregate(F.sequence(F.lit(0), F.lit(count - 1)), F.lit(0.0), lambda s, i: s + F.abs(F.element_at(pixels, a(i).cast("int")) - F.element_at(pixels, b(i).cast("int")))) / count
-    across = step(h * (w - 1), lambda i: F.floor(i / (w - 1)) * w + i % (w - 1) + 2, lambda i: F.floor(i / (w - 1)) * w + i % (w - 1) + 1)
-    down = step((h - 1) * w, lambda i: i + w + 1, lambda i: i + 1)
-    return across + down
+    return mean(F.transform(F.sequence(F.lit(0), F.lit(h * w - 1)), at))
 
 
 def box_means(pixels: Column, h: int, w: int, scale: int) -> Column:

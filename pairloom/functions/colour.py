@@ -88,7 +88,6 @@ def exposure(pixels: Column, factor: float) -> Column:
 
 
 def colour_temperature(r: Column, g: Column, b: Column, shift: float) -> tuple[Column, Column, Column]:
-    """Above 0 warms (red, and green by half); below 0 cools."""
-    if shift > 0:
-        return clamp01(r * (1 + shift)), clamp01(g * (1 + shift * 0.5)), b
-    return r, g, clamp01(b * (1 - shift))
+    """Above 0 warms red by 0.3 and green by 0.1 of the shift; else blue and green are raised in the same shares."""
+    more = abs(shift)
+    return tuple(clamp01(x) for x in ((r * (1 + 0.3 * more), g * (1 + 0.1 * more), b) if shift > 0 else (r, g * (1 + 0.1 * more), b * (1 + 0.3 * more))))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pairloom.operators.images import filter2d, gauss2d, resize, ssim
+from pairloom.operators.images import filter2d, gauss2d, resize, ssim, zero_filter2d
 
 
 def focal_frequency(a: np.ndarray, b: np.ndarray, alpha: float = 1.0) -> float:
@@ -19,33 +19,78 @@ def focal_frequency(a: np.ndarray, b: np.ndarray, alpha: float = 1.0) -> float:
     return float((w * d).mean())
 
 
-def laplacian_pyramid(a: np.ndarray, b: np.ndarray, levels: int = 3) -> float:
-    """Mean absolute difference of each band, summed over the levels."""
-    total, kernel = 0.0, gauss2d(3, 1.0)
-    for level in range(levels):
-        if level == levels - 1 or min(a.shape[1:]) < 4:
-            return total + float(np.abs(a - b).mean())
-        small = [filter2d(x, kernel)[:, ::2, ::2] for x in (a, b)]
-        bands = [x - resize(s, *x.shape[1:], "bilinear") for x, s in zip((a, b), small, strict=True)]
-        total += float(np.abs(bands[0] - bands[1]).mean())
+def _charbonnier(a: np.ndarray, b: np.ndarray) -> float:
+    return float(np.sqrt((a - b) ** 2 + 1e-12).mean())
+
+
+def _linear_weights(n: int, m: int) -> np.ndarray:
+    """m x n: linear interpolation of n values to m, cells aligned at their edges."""
+    at = np.clip((np.arange(m) + 0.5) * n / m - 0.5, 0, n - 1)
+    low = np.minimum(at.astype(int), n - 1)
+    out = np.zeros((m, n))
+    np.add.at(out, (np.arange(m), low), 1 - (at - low))
+    np.add.at(out, (np.arange(m), np.minimum(low + 1, n - 1)), at - low)
+    return out
+
+
+def _halved(x: np.ndarray) -> np.ndarray:
+    c, h, w = x.shape
+    return x[:, : h // 2 * 2, : w // 2 * 2].reshape(c, h // 2, 2, w // 2, 2).mean((2, 4))
+
+
+def laplacian_pyramid(a: np.ndarray, b: np.ndarray, levels: int = 4) -> float:
+    """Charbonnier distance of each band (a level less the next one, enlarged), summed; the coarsest level does not count."""
+    total = 0.0
+    for _ in range(levels):
+        small = [_halved(x) for x in (a, b)]
+        bands = [x - np.einsum("ah,chw,bw->cab", _linear_weights(s.shape[1], x.shape[1]), s, _linear_weights(s.shape[2], x.shape[2])) for x, s in zip((a, b), small, strict=True)]
+        total += _charbonnier(*bands)
         a, b = small
     return total
 
 
-def gradient_variance(a: np.ndarray, b: np.ndarray, patch: int = 4) -> float:
-    """Mean squared difference of the variances of gray gradients in patches."""
+def gradient_variance(a: np.ndarray, b: np.ndarray, patch: int = 16) -> float:
+    """Charbonnier distance of the variances of the gray image's gradients in patches, across plus down."""
     sobel = np.array([[-1, 0, 1], [-2, 0, 2], [-1, 0, 1]], np.float64)
 
-    def variances(x):
-        gray = x.mean(0, keepdims=True)
-        out = []
-        for k in (sobel, sobel.T):
-            g = filter2d(gray, k)[0]
-            g = g[: g.shape[0] // patch * patch, : g.shape[1] // patch * patch]
-            out.append(g.reshape(g.shape[0] // patch, patch, g.shape[1] // patch, patch).transpose(0, 2, 1, 3).reshape(-1, patch * patch).var(1, ddof=1))
-        return np.concatenate(out)
+    def variances(x, kernel):
+        g = zero_filter2d(np.tensordot([0.2989, 0.5870, 0.1140], x, 1)[None], kernel)[0]
+        h, w = (n // patch for n in g.shape)
+        return g[: h * patch, : w * patch].reshape(h, patch, w, patch).transpose(0, 2, 1, 3).reshape(-1, patch * patch).var(1, ddof=1)
+
+    return sum(_charbonnier(variances(a, k), variances(b, k)) for k in (sobel, sobel.T))
+
+
+def bicubic(a: np.ndarray, b: np.ndarray, scale: int = 4) -> float:
+    """Mean absolute difference of the images made smaller, then blurred by 5 x 5 of sigma 0.5."""
+    small = [filter2d(resize(x, x.shape[1] // scale, x.shape[2] // scale), gauss2d(5, 0.5)) for x in (a, b)]
+    return float(np.abs(small[0] - small[1]).mean())
+
+
+def colour_boxes(a: np.ndarray, b: np.ndarray, scale: int = 4) -> float:
+    """Mean absolute difference of the chroma channels' box means."""
+    chroma = np.array([[-37.797, -74.203, 112.0], [112.0, -93.786, -18.214]]) / 255
+
+    def boxes(x):
+        c = np.tensordot(chroma, x, 1)
+        h, w = (n // scale for n in c.shape[1:])
+        return c[:, : h * scale, : w * scale].reshape(2, h, scale, w, scale).mean((2, 4))
+
+    return float(np.abs(boxes(a) - boxes(b)).mean())
+
+
+def artifact_map(gt: np.ndarray, out: np.ndarray, smooth: np.ndarray, size: int = 7) -> np.ndarray:
+    """Where out has artifacts: the residual's local variance times the fifth root of its whole variance; 0 where smooth is worse."""
+    worse, own = (np.abs(gt - x).sum(0) for x in (smooth, out))
+    padded = np.pad(own, size // 2, mode="reflect")
+    local = np.lib.stride_tricks.sliding_window_view(padded, (size, size)).var((2, 3), ddof=1)
+    return np.where(own < worse, 0.0, own.var(ddof=1) ** 0.2 * local)
+
 
-    return float(((variances(a) - variances(b)) ** 2).mean())
+def discriminative(out: np.ndarray, gt: np.ndarray, smooth: np.ndarray) -> float:
+    """Mean absolute difference weighed by the artifact map."""
+    weight = artifact_map(gt, out, smooth)
+    return float(np.abs(weight * out - weight * gt).mean())
 
 
 def checkerboard(a: np.ndarray, b: np.ndarray, scale: int = 4, eps: float = 1e-12) -> float:
@@ -62,15 +107,47 @@ def checkerboard(a: np.ndarray, b: np.ndarray, scale: int = 4, eps: float = 1e-1
     return float(np.sqrt((differences(a) - differences(b)) ** 2 + eps).mean())
 
 
-def multiscale_ssim(a: np.ndarray, b: np.ndarray, scales: int = 2, peak: float = 1.0) -> float:
-    """The mean SSIM of scales, each half the last, as long as a window fits."""
-    values = []
-    for _ in range(scales):
-        if min(a.shape[1:]) < 11:
-            break
-        values.append(ssim(a, b, peak))
-        a, b = (x[:, : x.shape[1] // 2 * 2, : x.shape[2] // 2 * 2].reshape(x.shape[0], x.shape[1] // 2, 2, x.shape[2] // 2, 2).mean((2, 4)) for x in (a, b))
-    return float(np.mean(values)) if values else math.nan
+#: Published weights of the five scales.
+SCALES = (0.0448, 0.2856, 0.3001, 0.2363, 0.1333)
+
+
+def _contrast(a: np.ndarray, b: np.ndarray) -> float:
+    """Mean contrast and structure term of SSIM, at least 0 everywhere; windows of 11 inside the image, or zeros around a smaller one."""
+    kernel, r = gauss2d(11, 1.5), 5
+    inside = (slice(None), slice(r, -r), slice(r, -r)) if a.shape[2] >= 11 and a.shape[1] >= 11 else ...
+    mean = lambda x: zero_filter2d(x, kernel)[inside]
+    ma, mb = mean(a), mean(b)
+    va, vb, ab = mean(a * a) - ma * ma, mean(b * b) - mb * mb, mean(a * b) - ma * mb
+    return float(np.maximum((2 * ab + 0.03**2) / (va + vb + 0.03**2), 0).mean())
+
+
+def multiscale_ssim(a: np.ndarray, b: np.ndarray) -> float:
+    """Product of five scales' contrast terms, each to its published weight, of the luma of images in 0..1."""
+    a, b = (np.tensordot([0.299, 0.587, 0.114], np.clip(x, 0, 1), 1)[None] if len(x) == 3 else np.clip(x, 0, 1) for x in (a, b))
+    out = 1.0
+    for weight in SCALES:
+        out *= _contrast(a, b) ** weight
+        a, b = (_halved(np.pad(x, ((0, 0), *((n % 2, n % 2) for n in x.shape[1:])))) for x in (a, b))
+    return out
+
+
+def multiscale_ssim_l1(a: np.ndarray, b: np.ndarray, sigmas: tuple = (0.5, 1.0, 2.0, 4.0, 8.0), alpha: float = 0.1) -> float:
+    """
+    alpha times SSIM's distance over five Gaussians, the rest blurred L1. Each Gaussian stands for three of 15 masks, which
+    are dealt in order to the channels, five to each; luminance is that of the last three masks.
+    """
+    size = int(4 * sigmas[-1] + 1)
+    masks = {s: gauss2d(size, s) for s in sigmas}
+    c1, c2, light, structure = 0.01**2, 0.03**2, 1.0, 1.0
+    for k in range(15):
+        kernel, x, y = masks[sigmas[k // 3]], a[k // 5][None], b[k // 5][None]
+        mx, my = zero_filter2d(x, kernel), zero_filter2d(y, kernel)
+        vx, vy, xy = zero_filter2d(x * x, kernel) - mx * mx, zero_filter2d(y * y, kernel) - my * my, zero_filter2d(x * y, kernel) - mx * my
+        structure = structure * (2 * xy + c2) / (vx + vy + c2)
+        if k >= 12:
+            light = light * (2 * mx * my + c1) / (mx * mx + my * my + c1)
+    blurred = zero_filter2d(np.abs(a - b), masks[sigmas[-1]]).mean(0)
+    return float((alpha * (1 - light * structure)[0] + (1 - alpha) * blurred).mean())
 
 
 def _cosine(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
@@ -126,9 +203,12 @@ def contextual(a: np.ndarray, b: np.ndarray, bandwidth: float = 0.5) -> float:
 
 LOSSES = {
     "FFLoss": focal_frequency, "LaplacianPyramidLoss": laplacian_pyramid, "GradientVarianceLoss": gradient_variance, "CheckerboardLoss": checkerboard, "ConsistencyLoss": consistency,
-    "PixelContextualLoss": contextual, "SSIMLoss": lambda a, b: 1 - ssim(a, b, 1.0), "MSSIMLoss": lambda a, b: 1 - multiscale_ssim(a, b), "MSSSIML1Loss": lambda a, b: 0.84 * (1 - multiscale_ssim(a, b)) + 0.16 * float(np.abs(a - b).mean()),
-    "BicubicLoss": lambda a, b: float(np.abs(resize(a, a.shape[1] // 2, a.shape[2] // 2) - resize(b, b.shape[1] // 2, b.shape[2] // 2)).mean()),
+    "PixelContextualLoss": contextual, "SSIMLoss": lambda a, b: 1 - ssim(a, b, 1.0), "MSSIMLoss": lambda a, b: 1 - multiscale_ssim(a, b), "MSSSIML1Loss": multiscale_ssim_l1, "BicubicLoss": bicubic, "ColorLoss": colour_boxes,
+    # the smoother output is the image itself, half way to its target
+    "LDLLoss": lambda a, b: discriminative(a, b, (a + b) / 2),
 }
+#: Losses of images with three channels.
+RGB = {"CheckerboardLoss", "ConsistencyLoss", "GradientVarianceLoss", "MSSIMLoss", "MSSSIML1Loss", "ColorLoss", "LDLLoss"}
 
 
 def pair_losses(pairs: DataFrame, key: str, names: list[str]) -> DataFrame:

@@ -37,17 +37,17 @@ def loss_label(kind: Column, net: str) -> Column:
 
 
 def human_size(n: Column) -> Column:
-    """Bytes in units of 1024 with one decimal (half to even is left to the formatter)."""
+    """Bytes in units of 1024, written B, KB, MB and so on to YB, with one decimal (half to even is left to the formatter)."""
     out = None
-    for k, unit in enumerate(("", "Ki", "Mi", "Gi", "Ti")):
+    for k, unit in enumerate(("", "K", "M", "G", "T", "P", "E", "Z")):
         text = F.format_string(f"%3.1f {unit}B", n / 1024.0**k)
         out = F.when(F.abs(n) < 1024.0 ** (k + 1), text) if out is None else out.when(F.abs(n) < 1024.0 ** (k + 1), text)
-    return out.otherwise(F.format_string("%3.1f PiB", n / 1024.0**5))
+    return out.otherwise(F.format_string("%3.1f YB", n / 1024.0**8))
 
 
-def extra_params(pairs: Column) -> Column:
-    """A map's entries as k=v, by key, joined by spaces."""
-    return F.array_join(F.transform(F.array_sort(F.map_entries(pairs)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), " ")
+def extra_params(entries: Column) -> Column:
+    """entries: structs of key, value and text (whether the value is a text). Texts stand alone, other values as key=value, in the entries' order."""
+    return F.array_join(F.transform(entries, lambda e: F.when(e["text"], e["value"]).otherwise(F.concat(e["key"], F.lit("="), e["value"]))), " ")
 
 
 def scene_of(name: Column) -> Column:

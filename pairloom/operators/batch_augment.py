@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions import draws
 from pairloom.functions.arrays import let, nearest
 
 
-def partners(rows: DataFrame, batch: str, ordinal: str, size: int, seed: int) -> DataFrame:
-    """partner: the ordinal of another row of the batch, by a turn of the batch that the seed determines. A batch of one row is an error."""
-    if size < 2:
-        raise ValueError("a batch needs two rows at least")
-    turn = (F.floor(draws.uniform(seed, "turn", batch) * (size - 1)) + 1).cast("int")
-    return rows.withColumn("partner", (F.floor(F.col(ordinal) / size) * size + (F.col(ordinal) + turn) % size).cast("long"))
+def partners(rows: DataFrame, batch: str, ordinal: str, seed: int) -> DataFrame:
+    """place of a row in its batch, by ordinal, and turn, its place in a random permutation of the batch, whatever rows the batch has."""
+    own = Window.partitionBy(batch)
+    drawn = F.xxhash64(F.lit(seed), F.col(ordinal))
+    return rows.withColumn("place", F.row_number().over(own.orderBy(ordinal))).withColumn("turn", F.row_number().over(own.orderBy(drawn, ordinal)))
 
 
-def joined(rows: DataFrame, ordinal: str, pixels: str) -> DataFrame:
-    """Each row with its partner's pixels, as other."""
-    other = rows.select(F.col(ordinal).alias("partner"), F.col(pixels).alias("other"))
-    return rows.join(other, "partner")
+def joined(rows: DataFrame, batch: str, ordinal: str, pixels: str) -> DataFrame:
+    """Each row of partners() with the ordinal (partner) and pixels (other) of the row that the permutation puts in its place; a row alone is its own partner."""
+    key = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-1)).alias("of")
+    other = rows.select(key(batch), F.col("turn").alias("place"), F.col(ordinal).alias("partner"), F.col(pixels).alias("other"))
+    return rows.withColumn("of", key(batch)).join(other, ["of", "place"]).drop("of", "place", "turn")
 
 
 def boxed(pixels: Column, other: Column, w: int, top: Column, left: Column, height: Column, width: Column) -> Column:

@@ -168,18 +168,34 @@ def rotate(x: np.ndarray, degrees: float) -> np.ndarray:
     return sample(x, cy + (ys - cy) * math.cos(a) - (xs - cx) * math.sin(a), cx + (ys - cy) * math.sin(a) + (xs - cx) * math.cos(a))
 
 
+def reflected(v: np.ndarray, size: int) -> np.ndarray:
+    """Places outside an image, mirrored at its outer edges."""
+    v = np.abs(v + 0.5)
+    turns, rest = np.floor(v / size), v % size
+    return np.clip(np.where(turns % 2 == 0, rest, size - rest) - 0.5, 0, size - 1)
+
+
+def sample_unit(x: np.ndarray, ys: np.ndarray, xs: np.ndarray) -> np.ndarray:
+    """Bilinear values at places given from -1 to 1 between the outer edges of the image, which is mirrored outside."""
+    h, w = x.shape[1:]
+    return np.clip(sample(x, reflected(((ys + 1) * h - 1) / 2, h), reflected(((xs + 1) * w - 1) / 2, w)), 0, 1)
+
+
+def _unit_grid(x: np.ndarray):
+    return np.meshgrid(np.linspace(-1, 1, x.shape[1]), np.linspace(-1, 1, x.shape[2]), indexing="ij")
+
+
 def lens(x: np.ndarray, k: float) -> np.ndarray:
     """Radial distortion r (1 + k r^2), in coordinates from -1 to 1."""
-    ys, xs = _grid(x)
-    h, w = x.shape[1:]
-    ny, nx = 2 * ys / max(1, h - 1) - 1, 2 * xs / max(1, w - 1) - 1
-    f = 1 + k * (ny**2 + nx**2)
-    return np.clip(sample(x, (ny * f + 1) * (h - 1) / 2, (nx * f + 1) * (w - 1) / 2), 0, 1)
+    ys, xs = _unit_grid(x)
+    f = 1 + k * (ys**2 + xs**2)
+    return sample_unit(x, ys * f, xs * f)
 
 
-def rolling_shutter(x: np.ndarray, shift: float) -> np.ndarray:
-    ys, xs = _grid(x)
-    return np.clip(sample(x, ys, xs + shift * ys / max(1, x.shape[1] - 1)), 0, 1)
+def rolling_shutter(x: np.ndarray, strength: float) -> np.ndarray:
+    """Rows slanted about the centre by strength times height over width."""
+    ys, xs = _unit_grid(x)
+    return sample_unit(x, ys, xs + strength * x.shape[1] / x.shape[2] * ys)
 
 
 def chromatic(x: np.ndarray, red: float = 1.001, blue: float = 0.999) -> np.ndarray:
@@ -229,17 +245,24 @@ def poisson_noise(x: np.ndarray, scale: float, rng: np.random.Generator, gray: b
 
 
 def motion_kernel(size: int, degrees: float) -> np.ndarray:
-    line = np.zeros((1, size, size))
-    line[0, size // 2] = 1
-    k = np.maximum(rotate(line, degrees)[0], 0)
+    """Equal weights on the cells less than half a cell from a line through the centre."""
+    y, x = np.mgrid[:size, :size] - size // 2
+    k = (np.abs(y * math.cos(math.radians(degrees)) + x * math.sin(math.radians(degrees))) < 0.5).astype(np.float64)
     return k / k.sum()
 
 
+def zero_filter2d(x: np.ndarray, kernel: np.ndarray) -> np.ndarray:
+    """Each channel's correlation with an odd kernel; zeros outside."""
+    r, c = (n // 2 for n in kernel.shape)
+    padded = np.pad(x, ((0, 0), (r, r), (c, c)))
+    return np.einsum("chwij,ij->chw", np.lib.stride_tricks.sliding_window_view(padded, kernel.shape, (1, 2)), kernel)
+
+
 #: name -> step(image, params, rng)
 STEPS = {
     "blur": lambda x, p, r: filter2d(x, gauss2d(int(p.get("size", 7)), p.get("sigma", 1.0))),
     "sinc": lambda x, p, r: np.clip(filter2d(x, sinc_kernel(p.get("cutoff", 2.0), int(p.get("size", 7)))), 0, 1),
-    "motion_blur": lambda x, p, r: filter2d(x, motion_kernel(int(p.get("size", 7)) | 1, p.get("angle", 0.0))),
+    "motion_blur": lambda x, p, r: zero_filter2d(x, motion_kernel(int(p.get("size", 7)) | 1, p.get("angle", 0.0))),
     "gauss_noise": lambda x, p, r: gauss_noise(x, p.get("sigma", 10.0), r, p.get("gray", 0) > 0),
     "poisson_noise": lambda x, p, r: poisson_noise(x, p.get("scale", 1.0), r, p.get("gray", 0) > 0),
     "jpeg": lambda x, p, r: jpeg(x, p.get("quality", 75.0)),
@@ -247,7 +270,7 @@ STEPS = {
     "lens": lambda x, p, r: lens(x, p.get("k", 0.1)),
     "exposure": lambda x, p, r: np.clip(x * p.get("factor", 1.0), 0, 1),
     "sensor_noise": lambda x, p, r: np.clip(x + r.standard_normal(x.shape) * p.get("std", 0.01), 0, 1),
-    "rolling_shutter": lambda x, p, r: rolling_shutter(x, p.get("shift", 1.0)),
+    "rolling_shutter": lambda x, p, r: rolling_shutter(x, p.get("strength", 0.1)),
     "oversharpen": lambda x, p, r: oversharpen(x, p.get("strength", 1.0)),
     "chromatic": lambda x, p, r: chromatic(x),
     "chroma420": lambda x, p, r: chroma420(x),

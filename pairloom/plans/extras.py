@@ -229,7 +229,7 @@ def _(spark, sf):
 
 def _mixed(spark, sf):
     rows = images(spark, sf).withColumn("batch", F.floor(F.col("vec_id") / 10))
-    return batch_augment.joined(batch_augment.partners(rows, "batch", "vec_id", 10, 29), "vec_id", "p")
+    return batch_augment.joined(batch_augment.partners(rows, "batch", "vec_id", 29), "batch", "vec_id", "p")
 
 
 @query("aug_cutmix")
@@ -261,6 +261,6 @@ def _pairs16(spark, sf, rgb: bool = False):
 for _name in spectral.LOSSES:
 
     def _loss(spark, sf, name=_name):
-        return spectral.pair_losses(_pairs16(spark, sf, name in ("CheckerboardLoss", "ConsistencyLoss")), "vec_id", [name]).withColumnRenamed(name, "value")
+        return spectral.pair_losses(_pairs16(spark, sf, name in spectral.RGB), "vec_id", [name]).withColumnRenamed(name, "value")
 
     query(_name)(_loss)

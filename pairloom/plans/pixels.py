@@ -42,7 +42,8 @@ _colour("col_linear", ["lr", "lg", "lb"], lambda r, g, b: (colour.linear(r), col
 _colour("col_luma", ["luma"], colour.luminance, [f"(case when {LUM} <= 216.0 / 24389.0::double then {LUM} * (24389.0 / 27.0::double) else pow({LUM}, 1.0 / 3.0::double) * 116 - 16 end) / 100"])
 _colour("col_xyz", ["x", "y", "z"], colour.xyz, [_X, _Yx, _Z])
 _colour("col_lab_norm", ["l", "a", "bb"], colour.lab, [f"116 * {_f[1]} - 16", f"500 * ({_f[0]} - {_f[1]})", f"200 * ({_f[1]} - {_f[2]})"])
-_colour("deg_color_temp", ["r2", "g2", "b2"], lambda r, g, b: colour.colour_temperature(r, g, b, 0.2), [clip("r * 1.2::double"), clip("g * 1.1::double"), "b"])
+_colour("deg_color_temp", ["r2", "g2", "b2"], lambda r, g, b: colour.colour_temperature(r, g, b, 0.2), [clip("r * 1.06::double"), clip("g * 1.02::double"), clip("b")])
+_colour("deg_color_temp_cool", ["r2", "g2", "b2"], lambda r, g, b: colour.colour_temperature(r, g, b, -0.2), [clip("r"), clip("g * 1.02::double"), clip("b * 1.06::double")])
 _colour("num_to_float01", ["x"], lambda r, g, b: colour.clamp01(r), [clip("r")])
 _colour("num_tensor2img", ["x"], lambda r, g, b: colour.to_uint8(r), [f"round_even({clip('r')} * 255, 0)::int"])
 _colour("num_tensor2img_fast", ["x"], lambda r, g, b: colour.to_uint8_fast(r), [f"trunc({clip('r')} * 255)::int"])
@@ -103,8 +104,8 @@ MEAN = lambda f: f"{summed(zipped(f))} / len(p)"
 MSE = MEAN("(z[1] - z[2]) * (z[1] - z[2])")
 
 
-def _metric(name: str, fn, sql: str):
-    @query(name, f"select vec_id, round({sql}, 6) as value from {PAIR}")
+def _metric(name: str, fn, sql: str, source: str = PAIR):
+    @query(name, f"select vec_id, round({sql}, 6) as value from {source}")
     def _(spark, sf):
         return image_pairs(spark, sf).select("vec_id", F.round(fn(F.col("p"), F.col("q")), 6).alias("value"))
 
@@ -117,18 +118,25 @@ _metric("MSELoss", arrays.mse, MSE)
 _metric("CharbonnierLoss", arrays.charbonnier, MEAN("sqrt((z[1] - z[2]) * (z[1] - z[2]) + 1e-12)"))
 _metric("HuberLoss", lambda p, q: arrays.huber(p, q, 0.1), MEAN("(case when abs(z[1] - z[2]) < 0.1 then 0.5 * (z[1] - z[2]) * (z[1] - z[2]) else 0.1::double * (abs(z[1] - z[2]) - 0.5 * 0.1::double) end)"))
 _metric("PSNRLoss", arrays.psnr_loss, f"10 / ln(10) * ln({MSE} + 1e-8)")
-_metric("CHCLoss", arrays.clipped_l1, MEAN(f"(case when {DIFF} < 0.003921 then 0 else least(0.996, {DIFF}) end)"))
 _DOT = lambda a, b: summed(f"list_transform(list_zip({a}, {b}), lambda z: z[1] * z[2])")
-_metric("CosimLoss", lambda p, q: 1.0 - arrays.cosine(p, q), f"1 - {_DOT('p', 'q')} / sqrt({_DOT('p', 'p')} * {_DOT('q', 'q')})")
+#: Images as four channels of 4 x 4; the cosine of each pixel's channels.
+_CH = lambda a, b, value: " + ".join(value.format(x=f"{a}[k + {16 * c + 1}]", y=f"{b}[k + {16 * c + 1}]") for c in range(4))
+_ONE = "greatest(1e-12, least(1, {x})) * greatest(1e-12, least(1, {y}))"
+_COS = lambda v: summed(f"list_transform(range(0, 16), lambda k: ({_CH('p', 'q', v)}) / (sqrt({_CH('p', 'p', v)}) * sqrt({_CH('q', 'q', v)})))") + " / 16"
+_metric("CHCLoss", lambda p, q: arrays.clipped_huber_cosine(p, q, 4, 0.1), f"{summed(f'list_transform(list_zip(p, q), lambda z: greatest(1 / 255.0::double, least(254 / 255.0::double, sqrt((z[1] - z[2]) * (z[1] - z[2]) + 1e-12) + more)))')} / len(p)", f"(select *, 0.1::double * (1 - {_COS('{x} * {y}')}) as more from {PAIR})")
+_metric("CosimLoss", lambda p, q: arrays.cosim(p, q, 4), f"5 * (1 - {_COS(_ONE)})")
 _AVG = lambda a: f"({summed(a)} / 64)"
 _VAR = lambda a: f"({_DOT(a, a)} / 64 - {_AVG(a)} * {_AVG(a)})"
-_metric("NCCLoss", arrays.ncc, f"1 - ({_DOT('p', 'q')} / 64 - {_AVG('p')} * {_AVG('q')}) / sqrt({_VAR('p')} * {_VAR('q')})")
-_metric("BCEWithLogitsDiceLoss", lambda p, q: arrays.bce_with_logits(p, q) + arrays.dice(p, q), MEAN("greatest(z[1], 0) - z[1] * z[2] + ln(1 + exp(-abs(z[1])))") + f" + 1 - (2 * {summed(zipped('1 / (1 + exp(-z[1])) * z[2]'))} + 1e-6) / ({summed('list_transform(p, lambda x: 1 / (1 + exp(-x)))')} + {summed('q')} + 1e-6)")
+_metric("NCCLoss", arrays.ncc, f"1 - 0.5::double * (1 + ({_DOT('p', 'q')} / 64 - {_AVG('p')} * {_AVG('q')}) / sqrt({_VAR('p')} * {_VAR('q')}))")
+_metric("BCEWithLogitsDiceLoss", lambda p, q: arrays.bce_with_logits(p, q) + arrays.dice(p, q), MEAN("greatest(z[1], 0) - z[1] * z[2] + ln(1 + exp(-abs(z[1])))") + f" + 1 - 2 * {summed(zipped('1 / (1 + exp(-z[1])) * z[2]'))} / ({summed('list_transform(p, lambda x: 1 / (1 + exp(-x)))')} + {summed('q')} + 1e-6)")
 _BOX = lambda a: f"list_transform(range(0, 16), lambda i: ({a}[(i // 4) * 16 + (i % 4) * 2 + 1] + {a}[(i // 4) * 16 + (i % 4) * 2 + 2] + {a}[(i // 4) * 16 + (i % 4) * 2 + 9] + {a}[(i // 4) * 16 + (i % 4) * 2 + 10]) / 4)"
 _metric("AverageLoss", lambda p, q: arrays.l1(arrays.box_means(p, 8, 8, 2), arrays.box_means(q, 8, 8, 2)), summed(f"list_transform(list_zip({_BOX('p')}, {_BOX('q')}), lambda z: abs(z[1] - z[2]))") + " / 16")
 
 
-@query("TVLoss", f"select vec_id, round({summed('list_transform(range(0, 56), lambda i: abs(p[(i // 7) * 8 + i % 7 + 2] - p[(i // 7) * 8 + i % 7 + 1]))')} / 56 + {summed('list_transform(range(0, 56), lambda i: abs(p[i + 9] - p[i + 1]))')} / 56, 6) as value from {IMG}")
+_STEP = "sqrt(pow(case when i % 8 < 7 then p[i + 2] - p[i + 1] else 0 end, 2) + pow(case when i < 56 then p[i + 9] - p[i + 1] else 0 end, 2) + 1e-6)"
+
+
+@query("TVLoss", f"select vec_id, round({summed(f'list_transform(range(0, 64), lambda i: {_STEP})')} / 64, 6) as value from {IMG}")
 def _(spark, sf):
     return images(spark, sf).select("vec_id", F.round(arrays.total_variation(F.col("p"), 8, 8), 6).alias("value"))
 
@@ -175,15 +183,34 @@ def _degradation(name: str, *steps):
         return _steps(spark, sf, list(steps))
 
 
-for _name, _step in {"deg_gauss_noise": ("gauss_noise", {"sigma": 15}), "deg_poisson": ("poisson_noise", {"scale": 1}), "deg_diffjpeg": ("jpeg", {"quality": 60}), "deg_motion_blur": ("motion_blur", {"size": 5, "angle": 30}), "deg_lens": ("lens", {"k": 0.1}), "deg_sensor": ("sensor_noise", {"std": 0.02}), "deg_rolling": ("rolling_shutter", {"shift": 1}), "deg_oversharpen": ("oversharpen", {"strength": 1}), "deg_chromatic": ("chromatic", {}), "deg_demosaic": ("demosaic", {}), "arr_chroma420": ("chroma420", {}), "arr_usm": ("unsharp", {"size": 7}), "arr_filter2d": ("blur", {"size": 5, "sigma": 1.2}), "arr_resize": ("resize", {"factor": 0.5}), "ker_sinc": ("sinc", {"cutoff": 1.5, "size": 7})}.items():
+for _name, _step in {"deg_gauss_noise": ("gauss_noise", {"sigma": 15}), "deg_poisson": ("poisson_noise", {"scale": 1}), "deg_diffjpeg": ("jpeg", {"quality": 60}), "deg_motion_blur": ("motion_blur", {"size": 5, "angle": 30}), "deg_lens": ("lens", {"k": 0.1}), "deg_sensor": ("sensor_noise", {"std": 0.02}), "deg_rolling": ("rolling_shutter", {"strength": 0.1}), "deg_oversharpen": ("oversharpen", {"strength": 1}), "deg_chromatic": ("chromatic", {}), "deg_demosaic": ("demosaic", {}), "arr_chroma420": ("chroma420", {}), "arr_usm": ("unsharp", {"size": 7}), "arr_filter2d": ("blur", {"size": 5, "sigma": 1.2}), "arr_resize": ("resize", {"factor": 0.5}), "ker_sinc": ("sinc", {"cutoff": 1.5, "size": 7})}.items():
     _degradation(_name, _step)
 _degradation("deg_pipeline", ("blur", {"size": 5, "sigma": 1}), ("gauss_noise", {"sigma": 8}), ("jpeg", {"quality": 70}), ("resize", {"factor": 0.5}))
 
 
+#: Sequences with their chances and steps.
+SEQUENCES = {
+    "compression": (0.25, [("jpeg", {"quality": 40}), ("resize", {"factor": 0.5}), ("jpeg", {"quality": 70})]),
+    "camera": (0.30, [("motion_blur", {"size": 5, "angle": 20}), ("sensor_noise", {"std": 0.02})]),
+    "web": (0.20, [("oversharpen", {"strength": 1.2}), ("jpeg", {"quality": 60})]),
+    "print": (0.25, [("blur", {"size": 5, "sigma": 1}), ("gauss_noise", {"sigma": 8})]),
+}
+
+
+def _as_column(steps: list[tuple[str, dict]]):
+    return F.array(*[F.struct(F.lit(t).alias("type"), F.create_map(*[F.lit(x) for k, v in p.items() for x in (k, float(v))]).alias("params")) for t, p in steps])
+
+
 @query("deg_controller")
 def _(spark, sf):
-    named = [("compression", 0.25), ("camera", 0.30), ("web", 0.20), ("print", 0.25)]
-    return images(spark, sf).select("vec_id", draws.choice(named, draws.uniform(3, "sequence", "vec_id")).alias("sequence"))
+    """Each image by the steps of the sequence that it draws."""
+    drawn = draws.choice([(k, v[0]) for k, v in SEQUENCES.items()], draws.uniform(3, "sequence", "vec_id"))
+    steps = None
+    for name, (_, made) in SEQUENCES.items():
+        steps = F.when(drawn == name, _as_column(made)) if steps is None else steps.when(drawn == name, _as_column(made))
+    three = F.concat("p", F.reverse("p"), "p")
+    rows = images(spark, sf).select("vec_id", F.lit(3).alias("c"), F.lit(8).alias("h"), F.lit(8).alias("w"), three.alias("data"), steps.alias("steps"))
+    return np_images.degrade(rows, "vec_id").withColumn("sequence", drawn)
 
 
 @query("met_ssim")

@@ -371,15 +371,15 @@ def _(spark, sf):
     return table(spark, sf, "part").select("p_partkey", strings.loss_label(F.concat("p_brand", F.lit("Loss")), "g").alias("label"))
 
 
-@query("str_sizeof_fmt", "select o_orderkey, case when n < 1024 then format('{:3.1f} B', n) when n < 1048576 then format('{:3.1f} KiB', n / 1024) when n < 1073741824 then format('{:3.1f} MiB', n / 1048576) else format('{:3.1f} GiB', n / 1073741824) end as size from (select o_orderkey, (o_orderkey % 37)::double * (o_orderkey % 37) * (o_orderkey % 37) * (o_orderkey % 37) * 512 as n from orders)")
+@query("str_sizeof_fmt", "select o_orderkey, case when n < 1024 then format('{:3.1f} B', n) when n < 1048576 then format('{:3.1f} KB', n / 1024) when n < 1073741824 then format('{:3.1f} MB', n / 1048576) else format('{:3.1f} GB', n / 1073741824) end as size from (select o_orderkey, (o_orderkey % 37)::double * (o_orderkey % 37) * (o_orderkey % 37) * (o_orderkey % 37) * 512 as n from orders)")
 def _(spark, sf):
     m = (F.col("o_orderkey") % 37).cast("double")
     return table(spark, sf, "orders").select("o_orderkey", strings.human_size(m * m * m * m * 512).alias("size"))
 
 
-@query("str_extra_params", "select p_partkey, 'size=' || p_size || ' type=' || p_type as params from part")
+@query("str_extra_params", "select p_partkey, p_type || ' size=' || p_size || ' ' || p_brand as params from part")
 def _(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", strings.extra_params(F.create_map(F.lit("type"), F.col("p_type"), F.lit("size"), F.col("p_size").cast("string"))).alias("params"))
+    return table(spark, sf, "part").select("p_partkey", strings.extra_params(F.array(*[F.struct(F.lit(k).alias("key"), F.col(c).cast("string").alias("value"), F.lit(text).alias("text")) for k, c, text in (("type", "p_type", True), ("size", "p_size", False), ("brand", "p_brand", True))])).alias("params"))
 
 
 @query("str_frame_prefix", f"select line_no, split_part(name, '_', 1) as scene from ({NAMES})")
