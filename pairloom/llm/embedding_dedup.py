@@ -9,6 +9,9 @@ bucket, never its pairs.
 The number of hyperplanes follows the number of classes (about FILL in a bucket); tables are added until a pair at the
 threshold meets with probability RECALL, pairs above it more surely.
 
+Only class numbers are dealt to buckets and blocks; each block then fetches its vectors, in the precision of the source
+(products are in double precision), so that vectors are shuffled once a table and written once in all.
+
 Vectors that are null, empty or zero, or hold null or non-finite numbers, link with nothing; so do vectors of different lengths. A
 null vec_id is kept, with a null component unless an equal or linked vector has an id. Repeated rows are vectors of their own, each linked with its like.
 """
@@ -21,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from pairloom.llm.common import bundle, written
 from pairloom.llm.components import Forest, components
@@ -35,24 +39,33 @@ def shape(n: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - meet))
 
 
-def _usable(batches):
-    """vec_id, key (the vector as bytes; null: links with nothing)."""
-    for batch in batches:
-        keys = []
-        for v in batch.column("embedding").to_pylist():
-            x = None if v is None or None in v else np.array(v, "<f8")
-            keys.append(None if x is None or not len(x) or not np.isfinite(x).all() or not x.any() else (x + 0.0).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(keys, pa.binary())], names=["vec_id", "vector"])
+def _usable(kind: str):
+    """vec_id, vector (as bytes; null: links with nothing)."""
+
+    def run(batches):
+        for batch in batches:
+            keys = []
+            for v in batch.column("embedding").to_pylist():
+                x = None if v is None or None in v else np.array(v, kind)
+                keys.append(None if x is None or not len(x) or not np.isfinite(x).all() or not x.any() else (x + x.dtype.type(0)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(keys, pa.binary())], names=["vec_id", "vector"])
+
+    return run
 
 
-def _unit(vectors: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(vectors), "<f8").reshape(len(vectors), -1)
+def _unit(vectors: list[bytes], kind: str) -> np.ndarray:
+    x = np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), -1).astype("<f8")
     x = x / np.abs(x).max(axis=1, keepdims=True)  # else squares of very large or small numbers leave the range
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _hash(bits: int, tables: int, seed: int):
-    schema = pa.schema([("bucket", pa.int64()), ("t", pa.int32()), ("cid", pa.int64()), ("m", pa.int64()), ("signs", pa.binary()), ("vector", pa.binary())])
+def _small(bits: int) -> str:
+    return "<u2" if bits <= 16 else "<u4"
+
+
+def _hash(bits: int, tables: int, seed: int, kind: str):
+    """Each class with its signs and its bucket in every table."""
+    schema = pa.schema([("cid", pa.int64()), ("m", pa.int64()), ("signs", pa.binary()), ("vector", pa.binary()), ("buckets", pa.list_(pa.int64()))])
 
     def run(batches):
         planes: dict[int, np.ndarray] = {}
@@ -60,21 +73,20 @@ def _hash(bits: int, tables: int, seed: int):
             vectors = batch.column("vector").to_pylist()
             for size in sorted({len(v) for v in vectors}):
                 at = [i for i, v in enumerate(vectors) if len(v) == size]
-                x = _unit([vectors[i] for i in at])
+                x = _unit([vectors[i] for i in at], kind)
                 d = x.shape[1]
                 if d not in planes:
                     planes[d] = np.random.default_rng([seed, d]).standard_normal((d, bits * tables))
-                signs = ((x @ planes[d] > 0).reshape(len(at), tables, bits) @ (1 << np.arange(bits))).astype("<u4")
-                packed = [s.tobytes() for s in signs]
+                signs = (x @ planes[d] > 0).reshape(len(at), tables, bits) @ (1 << np.arange(bits))
+                buckets = (signs * tables + np.arange(tables)) * 65536 + d % 65536
+                packed = [s.tobytes() for s in signs.astype(_small(bits))]
                 own = batch.take(pa.array(at))
-                for t in range(tables):
-                    bucket = (signs[:, t].astype(np.int64) * tables + t) * 65536 + d % 65536
-                    yield bundle(schema, bucket, np.full(len(at), t, np.int32), own.column("cid"), own.column("m"), packed, own.column("vector"))
+                yield bundle(schema, own.column("cid"), own.column("m"), packed, own.column("vector"), buckets.tolist())
 
     return run
 
 
-def _pairs(threshold: float):
+def _pairs(threshold: float, bits: int, kind: str):
     """Rows sorted by (bucket, i, j): links and a spanning forest of each such group."""
     schema = pa.schema([("cid", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
@@ -82,7 +94,7 @@ def _pairs(threshold: float):
         cid, m, side = np.array(rows["cid"]), np.array(rows["m"]), np.array(rows["side"])
         if len(cid) < 2 or len({len(v) for v in rows["vector"]}) > 1:
             return None
-        x, signs, t = _unit(rows["vector"]), np.frombuffer(b"".join(rows["signs"]), "<u4").reshape(len(cid), -1), rows["t"][0]
+        x, signs, t = _unit(rows["vector"], kind), np.frombuffer(b"".join(rows["signs"]), _small(bits)).reshape(len(cid), -1), rows["t"][0]
         close = x @ x.T >= threshold
         a, b = np.nonzero(np.triu(close, 1))
         cross = side[a] != side[b] if rows["i"][0] != rows["j"][0] else np.ones(len(a), bool)
@@ -128,17 +140,21 @@ def _pairs(threshold: float):
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 11) -> DataFrame:
     """vectors: vec_id (whole number), embedding (numbers). One row per vector: vec_id, n_links, component_id, kept."""
     kind = vectors.schema["vec_id"].dataType.simpleString()
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(_usable, f"vec_id {kind}, vector binary")
+    held = getattr(vectors.schema["embedding"].dataType, "elementType", None)
+    number, numpy_kind = ("float", "<f4") if isinstance(held, FloatType) else ("double", "<f8")
+    rows = vectors.select("vec_id", F.col("embedding").cast(f"array<{number}>").alias("embedding")).mapInArrow(_usable(numpy_kind), f"vec_id {kind}, vector binary")
     rows = written(rows.withColumn("key", F.sha2("vector", 256)).withColumn("vec_id", F.col("vec_id").cast("long")), "vectors")
     # a class without any id is known by a number below all ids
     classes = written(rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("least"), F.count("*").alias("m"), F.first("vector").alias("vector")).withColumn("cid", F.coalesce("least", F.lit(-(1 << 62)) - F.pmod(F.xxhash64("key"), F.lit(1 << 61)))), "classes")
     bits, tables = shape(classes.count(), threshold, recall)
-    hashed = classes.select("cid", "m", "vector").mapInArrow(_hash(bits, tables, seed), "bucket long, t int, cid long, m long, signs binary, vector binary")
-    hashed = written(hashed, "hashed")
-    full = hashed.groupBy("bucket").agg(F.count("*").alias("n")).where(f"n > {BLOCK}").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    placed = hashed.join(full, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("side", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    signed = classes.select("cid", "m", "vector").mapInArrow(_hash(bits, tables, seed, numpy_kind), "cid long, m long, signs binary, vector binary, buckets array<long>")
+    signed = written(signed, "signed")
+    hashed = signed.select("cid", F.posexplode("buckets").alias("t", "bucket"))
+    sizes = hashed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    placed = hashed.join(sizes, "bucket").withColumn("side", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other")).drop("other", "blocks")
-    sums = spread.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_pairs(threshold), "cid long, links long, root long")
+    spread = spread.join(signed.drop("buckets"), "cid")
+    sums = spread.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_pairs(threshold, bits, numpy_kind), "cid long, links long, root long")
     sums = written(sums, "sums")
     links = sums.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = components(sums.select("cid", "root"))
