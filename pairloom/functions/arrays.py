@@ -214,3 +214,71 @@ def gaussian_kernel(size: int, sigma_x: Column, sigma_y: Column, theta: Column,
         return F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), value)
 
     return let(let(cov, cells), lambda a: F.zip_with(a, F.array_repeat(total(a), size * size), lambda v, t: v / t))
+
+
+def noised_kernel(kernel: Column, noise: Column) -> Column:
+    """A kernel times as many factors, sum 1 again."""
+    return let(F.zip_with(kernel, noise, lambda k, n: k * n), lambda a: F.transform(a, lambda v: v / total(a)))
+
+
+def spread_point(size: int, sigma: Column) -> Column:
+    """A point in the middle of size x size cells after a Gaussian filter that ends at four sigma; that must lie inside."""
+    half = size // 2
+
+    def line(radius):
+        weight = lambda d: F.exp(-0.5 * F.pow(d / sigma, F.lit(2.0)))
+        whole = total(F.transform(F.sequence(-radius, radius), lambda d: weight(d)))
+        return let(whole, lambda t: F.transform(F.sequence(F.lit(-half), F.lit(half)), lambda d: F.when(F.abs(d) <= radius, weight(d) / t).otherwise(0.0)))
+
+    cells = let(F.floor(4 * sigma + 0.5).cast("int"), lambda r: F.when(r > half, F.raise_error(F.lit("the filter is wider than the kernel"))).otherwise(line(r)))
+    return let(cells, lambda a: F.flatten(F.transform(a, lambda y: F.transform(a, lambda x: y * x))))
+
+
+def normal_cdf(x: Column) -> Column:
+    """Of the standard normal, from the series x + x^3 / 3 + x^5 / 15 ..., whose terms have one sign; flat beyond 8."""
+
+    def of(v):
+        step = lambda s, k: F.struct((s["term"] * v * v / (2 * k + 1)).alias("term"), (s["sum"] + s["term"] * v * v / (2 * k + 1)).alias("sum"))
+        series = F.aggregate(F.sequence(F.lit(1), F.lit(150)), F.struct(v.alias("term"), v.alias("sum")), step, lambda s: s["sum"])
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.5 + series * F.exp(-v * v / 2) / 2.5066282746310002))
+
+    return let(F.greatest(F.lit(-8.0), F.least(F.lit(8.0), x.cast("double"))), of)
+
+
+def skewed_cdf(size: int, d: tuple[tuple[float, float], tuple[float, float]]) -> Column:
+    """Of a size x size grid about 0 times a matrix: the standard normal's distribution function in two dimensions."""
+    half = size // 2
+
+    def at(i):
+        y, x = (F.floor(i / size) - half).cast("double"), (i % size - half).cast("double")
+        return normal_cdf(x * d[0][0] + y * d[1][0]) * normal_cdf(x * d[0][1] + y * d[1][1])
+
+    return F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), at)
+
+
+def bilinear(pixels: Column, h: int, w: int, scale: float) -> tuple[Column, int, int]:
+    """Enlarged or shrunk between the four nearest cells, edges aligned, without a filter; and its size."""
+    new_h, new_w = int(h * scale), int(w * scale)
+
+    def at(i):
+        place = lambda k, n: F.least(F.greatest((k + 0.5) / scale - 0.5, F.lit(0.0)), F.lit(n - 1.0))
+        y, x = place(F.floor(i / new_w), h), place(i % new_w, w)
+
+        def value(v):
+            top, left = F.floor(v["y"]), F.floor(v["x"])
+            cell = lambda r, c: F.element_at(pixels, (F.least(r, F.lit(h - 1)) * w + F.least(c, F.lit(w - 1)) + 1).cast("int"))
+            fy, fx = v["y"] - top, v["x"] - left
+            return (cell(top, left) * (1 - fx) + cell(top, left + 1) * fx) * (1 - fy) + (cell(top + 1, left) * (1 - fx) + cell(top + 1, left + 1) * fx) * fy
+
+        return let(F.struct(y.alias("y"), x.alias("x")), value)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(new_h * new_w - 1)), at), new_h, new_w
+
+
+def multi_crop(pixels: Column, h: int, w: int, size: int, places: list[tuple[Column, Column]]) -> tuple[Column, int, int]:
+    """An array of crops at the places (shares 0..1 of the room there is); an image that is too small is enlarged first. And the size cropped from."""
+    if min(h, w) <= size:
+        pixels, h, w = bilinear(pixels, h, w, (size + 1) / min(h, w))
+    room = lambda u, n: F.least(F.floor(u * (n - size + 1)), F.lit(n - size)).cast("int")
+    crops = let(pixels, lambda p: F.array(*[let(F.struct(room(t, h).alias("top"), room(l, w).alias("left")), lambda v: F.struct(v["top"].alias("top"), v["left"].alias("left"), crop(p, w, v["top"], v["left"], size, size).alias("patch"))) for t, l in places]))
+    return crops, h, w

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairloom.operators.pairing import settled
+
 
 def clips(frames: DataFrame, scene: str, order: list[str], item: str, size: int) -> DataFrame:
     """Every full window of size frames of a scene: scene, start (from 0), clip (array) and its centre."""
@@ -43,12 +45,29 @@ def frame_indices(df: DataFrame, index: str, count: str, half: int, mode: str) -
     return df.withColumn("indices", F.transform(F.sequence(F.col(index) - half, F.col(index) + half), at))
 
 
+def _cut(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """_part: ranges of (keys, order), so that a key of many rows is many tasks' work."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return settled(rows.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()))
+
+
+def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    on = a["_part"] == b["_part"]
+    for k in keys:
+        on &= a[k].eqNullSafe(b[k])
+    return on
+
+
 def best_so_far(rows: DataFrame, keys: list[str], value: str, order: str, higher: bool = True) -> DataFrame:
-    """The best value up to each row and when it came; of equals the later one."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    """The best value up to each row and when it came; of equals the later one. Rows of one key and order share a result. Parts of a key meet only by their bests."""
     signed = F.col(value) if higher else -F.col(value)
-    best = F.max(F.struct(signed.alias("v"), F.col(order).alias("at"))).over(w)
-    return rows.withColumn("_b", best).withColumn("best", F.col("_b.v") if higher else -F.col("_b.v")).withColumn("best_at", F.col("_b.at")).drop("_b")
+    cut = _cut(rows.withColumn("_v", F.struct(signed.alias("v"), F.col(order).alias("at"))), keys, [order])
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    found = cut.groupBy("_part", *keys).agg(F.max("_v").alias("_m")).withColumn("_m", F.max("_m").over(before))
+    within = cut.withColumn("_w", F.max("_v").over(Window.partitionBy("_part", *keys).orderBy(order)))
+    out = within.join(found, _same(within, found, keys), "left").select(within["*"], found["_m"])
+    out = out.withColumn("_b", F.greatest("_w", "_m"))
+    return out.withColumn("best", F.col("_b.v") if higher else -F.col("_b.v")).withColumn("best_at", F.col("_b.at")).drop("_b", "_v", "_w", "_m", "_part")
 
 
 def best(rows: DataFrame, keys: list[str], value: str, order: str, higher: bool = True) -> DataFrame:
@@ -65,11 +84,21 @@ def block_means(rows: DataFrame, keys: list[str], cents: str, order: list[str],
     return numbered.withColumn("running_mean", F.sum(cents).over(w).cast("double") / (100 * F.count("*").over(w))).drop("_block")
 
 
-def ema(rows: DataFrame, keys: list[str], value: str, order: list[str], decay: float) -> DataFrame:
-    """The exponential moving average at the end of each key's rows, begun at its first value; one fold over a sorted array."""
-    items = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("v"))))
-    fold = F.aggregate(F.slice("xs", 2, F.greatest(F.size("xs") - 1, F.lit(0))), F.element_at("xs", 1)["v"], lambda s, x: s * decay + x["v"] * (1 - decay))
-    return rows.groupBy(*keys).agg(items.alias("xs")).select(*keys, fold.alias("ema"), F.size("xs").alias("n"))
+def ema(rows: DataFrame, keys: list[str], value: str, order: list[str], decay: float, threshold: float = 1.0) -> DataFrame:
+    """
+    Of each key the moving average after its last row, n, and whether the last row raised it beyond threshold times what
+    it was. The average begins with the first value. As each value's weight follows from its place, it is a plain sum.
+    """
+    cut = _cut(rows.select(*keys, *[c for c in order if c not in keys], value), keys, order)
+    sized = cut.groupBy("_part", *keys).agg(F.count("*").alias("_n"))
+    whole = Window.partitionBy(*keys)
+    sized = sized.withColumn("n", F.sum("_n").over(whole)).withColumn("_later", F.coalesce(F.sum("_n").over(whole.orderBy("_part").rowsBetween(1, Window.unboundedFollowing)), F.lit(0)))
+    within = cut.withColumn("_k", F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*[F.desc(c) for c in order])) - 1)
+    at = within.join(sized, _same(within, sized, keys)).select(within["*"], sized["n"], sized["_later"]).withColumn("_age", F.col("_k") + F.col("_later"))
+    share = F.pow(F.lit(decay), F.col("_age").cast("double")) * F.when(F.col("_age") == F.col("n") - 1, 1.0).otherwise(1 - decay)
+    out = at.groupBy(*keys).agg(F.sum(F.col(value) * share).alias("ema"), F.max("n").cast("int").alias("n"), F.max(F.when(F.col("_age") == 0, F.col(value))).alias("_last"))
+    old = (F.col("ema") - (1 - decay) * F.col("_last")) / decay
+    return out.withColumn("rises", F.coalesce((F.col("n") > 1) & (F.col("ema") > old * threshold), F.lit(False))).drop("_last")
 
 
 def tile_origins(length: Column, crop: int, step: int, threshold: int) -> Column:

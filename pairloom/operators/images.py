@@ -116,11 +116,17 @@ def _cubic(a: float):
 RESAMPLERS = {"bilinear": (1.0, lambda x: np.maximum(0, 1 - np.abs(x))), "bicubic": (2.0, _cubic(-0.5)), "catrom": (2.0, _cubic(-0.5)), "lanczos": (3.0, lambda x: np.where(np.abs(x) < 3, np.sinc(x) * np.sinc(x / 3), 0.0)), "area": (0.5, lambda x: (np.abs(x) <= 0.5).astype(np.float64))}
 
 
-def resize(x: np.ndarray, h: int, w: int, mode: str = "bicubic") -> np.ndarray:
-    if mode == "nearest":
-        return x[:, np.arange(h) * x.shape[1] // h][:, :, np.arange(w) * x.shape[2] // w]
+def resampled(x: np.ndarray, h: int, w: int, mode: str = "bicubic") -> np.ndarray:
+    """Not clipped. nearest takes the cell that the new cell's start lies in, nearest-exact the one of its centre."""
+    if mode in ("nearest", "nearest-exact"):
+        at = lambda n, m: np.arange(m) * n // m if mode == "nearest" else (2 * np.arange(m) + 1) * n // (2 * m)
+        return x[:, at(x.shape[1], h)][:, :, at(x.shape[2], w)]
     width, kernel = RESAMPLERS[mode]
-    return np.clip(np.einsum("ah,chw,bw->cab", weights_of(x.shape[1], h, width, kernel), x, weights_of(x.shape[2], w, width, kernel)), 0, 1)
+    return np.einsum("ah,chw,bw->cab", weights_of(x.shape[1], h, width, kernel), x, weights_of(x.shape[2], w, width, kernel))
+
+
+def resize(x: np.ndarray, h: int, w: int, mode: str = "bicubic") -> np.ndarray:
+    return np.clip(resampled(x, h, w, mode), 0, 1)
 
 
 _DCT = np.array([[math.sqrt((1 if k == 0 else 2) / 8) * math.cos((2 * n + 1) * k * math.pi / 16) for n in range(8)] for k in range(8)])
@@ -258,15 +264,30 @@ def zero_filter2d(x: np.ndarray, kernel: np.ndarray) -> np.ndarray:
     return np.einsum("chwij,ij->chw", np.lib.stride_tricks.sliding_window_view(padded, kernel.shape, (1, 2)), kernel)
 
 
+def shaped_kernel(size: int, sx: float, sy: float, theta: float, beta: float, shape: int) -> np.ndarray:
+    """Sum 1, for a covariance with axes sx and sy turned by theta: 0 Gaussian, 1 generalised, 2 plateau."""
+    turn = np.array([[math.cos(theta), -math.sin(theta)], [math.sin(theta), math.cos(theta)]])
+    inverse = np.linalg.inv(turn @ np.diag([sx * sx, sy * sy]) @ turn.T)
+    y, x = np.mgrid[:size, :size] - size // 2
+    q = inverse[0, 0] * x * x + 2 * inverse[0, 1] * x * y + inverse[1, 1] * y * y
+    k = 1 / (1 + q**beta) if shape == 2 else np.exp(-0.5 * (q**beta if shape == 1 else q))
+    return k / k.sum()
+
+
+MODES = ("area", "bilinear", "bicubic")
+
 #: name -> step(image, params, rng)
 STEPS = {
+    "kernel_blur": lambda x, p, r: filter2d(x, shaped_kernel(int(p["size"]), p["sx"], p["sy"], p["theta"], p["beta"], int(p["shape"]))),
+    "resize_to": lambda x, p, r: resize(x, int(p["h"]), int(p["w"]), MODES[int(p.get("mode", 2))]),
+    "quantise": lambda x, p, r: np.clip(np.round(x * 255), 0, 255) / 255,
     "blur": lambda x, p, r: filter2d(x, gauss2d(int(p.get("size", 7)), p.get("sigma", 1.0))),
     "sinc": lambda x, p, r: np.clip(filter2d(x, sinc_kernel(p.get("cutoff", 2.0), int(p.get("size", 7)))), 0, 1),
     "motion_blur": lambda x, p, r: zero_filter2d(x, motion_kernel(int(p.get("size", 7)) | 1, p.get("angle", 0.0))),
     "gauss_noise": lambda x, p, r: gauss_noise(x, p.get("sigma", 10.0), r, p.get("gray", 0) > 0),
     "poisson_noise": lambda x, p, r: poisson_noise(x, p.get("scale", 1.0), r, p.get("gray", 0) > 0),
     "jpeg": lambda x, p, r: jpeg(x, p.get("quality", 75.0)),
-    "resize": lambda x, p, r: resize(x, max(1, round(x.shape[1] * p.get("factor", 0.5))), max(1, round(x.shape[2] * p.get("factor", 0.5))), "bicubic"),
+    "resize": lambda x, p, r: resize(x, max(1, round(x.shape[1] * p.get("factor", 0.5))), max(1, round(x.shape[2] * p.get("factor", 0.5))), MODES[int(p.get("mode", 2))]),
     "lens": lambda x, p, r: lens(x, p.get("k", 0.1)),
     "exposure": lambda x, p, r: np.clip(x * p.get("factor", 1.0), 0, 1),
     "sensor_noise": lambda x, p, r: np.clip(x + r.standard_normal(x.shape) * p.get("std", 0.01), 0, 1),

@@ -62,11 +62,10 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def first_root(paths: DataFrame, roots: DataFrame, path: str = "path") -> DataFrame:
-    """The first root (by ordinal) that is a proper prefix of each path; null where none is. roots: ordinal, root; few."""
-    hit = F.col(path).startswith(F.concat("root", F.lit("/")))
-    joined = paths.join(F.broadcast(roots), hit, "left")
-    return joined.groupBy(*paths.columns).agg(F.min_by("root", "ordinal").alias("root"))
+def first_root(paths: DataFrame, roots: list[str], path: str = "path") -> DataFrame:
+    """root: the first of the given roots that is a proper prefix of each path; null where none is. Repeated paths stay rows of their own."""
+    out = F.coalesce(*[F.when(F.col(path).startswith(root + "/"), root) for root in roots]) if roots else F.lit(None).cast("string")
+    return paths.withColumn("root", out)
 
 
 def template_diff(user: DataFrame, template: DataFrame) -> DataFrame:

@@ -151,8 +151,7 @@ def _(spark, sf):
 
 @query("join_root_prefix", "select doc_id, path, (select min_by(root, k) from (values (0, 'src1'), (1, 'src2'), (2, 'src')) r(k, root) where starts_with(path, root || '/')) as root from (select doc_id, source || '/' || doc_id as path from documents)")
 def _(spark, sf):
-    roots = spark.createDataFrame([(0, "src1"), (1, "src2"), (2, "src")], "ordinal int, root string")
-    return pairing.first_root(table(spark, sf, "documents").select("doc_id", F.concat_ws("/", "source", "doc_id").alias("path")), roots)
+    return pairing.first_root(table(spark, sf, "documents").select("doc_id", F.concat_ws("/", "source", "doc_id").alias("path")), ["src1", "src2", "src"])
 
 
 @query("join_official_metrics", "select p_partkey, coalesce(case p_brand when 'Brand#11' then '27.1' when 'Brand#22' then '28.4' end, '-') as psnr from part")
@@ -294,9 +293,9 @@ def _(spark, sf):
     return fr.block_means(frames(spark, sf), ["user_id"], "cents", ["ts", "event_id"], 10).select("event_id", "running_mean")
 
 
-@query("win_ema_adaptive", "select user_id, round(list_reduce(list(value order by ts, event_id), lambda s, x: s * 0.9::double + x * (1 - 0.9::double)), 6) as ema, count(*)::int as n from events group by user_id")
+@query("win_ema_adaptive", "select user_id, round(ema, 6) as ema, n, case when n > 1 then ema > list_reduce(a[:n - 1], lambda s, x: s * 0.9::double + x * (1 - 0.9::double)) * 1.02::double else false end as rises from (select user_id, a, list_reduce(a, lambda s, x: s * 0.9::double + x * (1 - 0.9::double)) as ema, len(a)::int as n from (select user_id, list(value order by ts, event_id) as a from events group by user_id))")
 def _(spark, sf):
-    return fr.ema(frames(spark, sf), ["user_id"], "value", ["ts", "event_id"], 0.9).select("user_id", F.round("ema", 6).alias("ema"), "n")
+    return fr.ema(frames(spark, sf), ["user_id"], "value", ["ts", "event_id"], 0.9, 1.02).select("user_id", F.round("ema", 6).alias("ema"), "n", "rises")
 
 
 ORIGINS = "case when n - (list_last(o) + 16) > 4 then list_append(o, n - 16) else o end"
