@@ -274,7 +274,20 @@ def shaped_kernel(size: int, sx: float, sy: float, theta: float, beta: float, sh
     return k / k.sum()
 
 
-MODES = ("area", "bilinear", "bicubic")
+MODES = ("area", "bilinear", "bicubic", "lanczos")
+
+
+def colour_temperature(x: np.ndarray, shift: float) -> np.ndarray:
+    """As functions.colour.colour_temperature."""
+    more = np.array([0.3, 0.1, 0.0] if shift > 0 else [0.0, 0.1, 0.3]) * abs(shift) + 1
+    return np.clip(x * more[:, None, None], 0, 1)
+
+
+def aliasing(x: np.ndarray, scale: float) -> np.ndarray:
+    """Down and up again by the nearest cells."""
+    small = resize(x, max(1, int(x.shape[1] * scale)), max(1, int(x.shape[2] * scale)), "nearest")
+    return resize(small, *x.shape[1:], "nearest")
+
 
 #: name -> step(image, params, rng)
 STEPS = {
@@ -284,7 +297,7 @@ STEPS = {
     "blur": lambda x, p, r: filter2d(x, gauss2d(int(p.get("size", 7)), p.get("sigma", 1.0))),
     "sinc": lambda x, p, r: np.clip(filter2d(x, sinc_kernel(p.get("cutoff", 2.0), int(p.get("size", 7)))), 0, 1),
     "motion_blur": lambda x, p, r: zero_filter2d(x, motion_kernel(int(p.get("size", 7)) | 1, p.get("angle", 0.0))),
-    "gauss_noise": lambda x, p, r: gauss_noise(x, p.get("sigma", 10.0), r, p.get("gray", 0) > 0),
+    "gauss_noise": lambda x, p, r: gauss_noise(x, p.get("sigma", 10.0), r, p.get("gray", 0) > 0 or ("gray_chance" in p and r.random() < p["gray_chance"])),
     "poisson_noise": lambda x, p, r: poisson_noise(x, p.get("scale", 1.0), r, p.get("gray", 0) > 0),
     "jpeg": lambda x, p, r: jpeg(x, p.get("quality", 75.0)),
     "resize": lambda x, p, r: resize(x, max(1, round(x.shape[1] * p.get("factor", 0.5))), max(1, round(x.shape[2] * p.get("factor", 0.5))), MODES[int(p.get("mode", 2))]),
@@ -296,7 +309,8 @@ STEPS = {
     "chromatic": lambda x, p, r: chromatic(x),
     "chroma420": lambda x, p, r: chroma420(x),
     "demosaic": lambda x, p, r: demosaic(x),
-    "aliasing": lambda x, p, r: resize(resize(x, max(1, x.shape[1] // 2), max(1, x.shape[2] // 2), "nearest"), x.shape[1], x.shape[2], "nearest"),
+    "aliasing": lambda x, p, r: aliasing(x, p.get("scale", 0.5)),
+    "colour_temperature": lambda x, p, r: colour_temperature(x, p.get("shift", 0.1)),
     "unsharp": lambda x, p, r: unsharp(x, p.get("weight", 0.5), int(p.get("size", 11))),
 }
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairloom.functions import arrays, colour, draws
-from pairloom.operators import batch_augment, images as np_images, sequences
-from pairloom.operators.sequences import Sequence, Step
+from pairloom.operators import batch_augment, images as np_images, named_sequences, sequences
+from pairloom.operators.sequences import Step
 from pairloom.plans.base import IMG, PAIR, image_pairs, images, query
 from pairloom.plans.pixels import _digest
 from pairloom.sources.manifests import table
@@ -149,24 +149,55 @@ def _(spark, sf):
     return np_images.degrade(rows, "vec_id").join(rows.select("vec_id", "steps"), "vec_id")
 
 
-#: Steps that a camera and an upload may add, the second with repeats.
-CAMERA = Sequence("camera", 0.3, [Step("sensor_noise", probability_range=(0.8, 1.0), parameter_ranges={"std": (0.02, 0.08)}), Step("rolling_shutter", probability_range=(0.3, 0.7), parameter_ranges={"strength": (0.02, 0.08)}), Step("lens", probability_range=(0.6, 0.9), parameter_ranges={"k": (0.1, 0.3)}), Step("jpeg", parameter_ranges={"quality": (70, 90)})])
-UPLOAD = Sequence("upload", 0.25, [Step("oversharpen", probability_range=(0.6, 0.9), parameter_ranges={"strength": (1.1, 1.8)}), Step("resize", 0.5, {"factor": 0.5}), Step("jpeg", probability_range=(0.2, 0.4), parameter_ranges={"quality": (70, 90)})], repeat_probability=0.3)
+NAMED = named_sequences.parsed(named_sequences.PREDEFINED)
+COMPREHENSIVE = named_sequences.parsed(named_sequences.COMPREHENSIVE)
 
 
 @query("deg_sequence")
 def _(spark, sf):
     """All images by one sequence with geometric repeats."""
-    return np_images.degrade(_coloured(spark, sf).withColumn("steps", sequences.drawn_sequence(UPLOAD, 61, "vec_id")), "vec_id")
+    return np_images.degrade(_coloured(spark, sf).withColumn("steps", sequences.drawn_sequence(NAMED[0], 61, "vec_id")), "vec_id")
 
 
-@query("deg_sequences")
-def _(spark, sf):
-    """Each image by the sequence that it draws, gates and parameters drawn by step."""
-    name, steps = sequences.controlled([CAMERA, UPLOAD], 67, "vec_id")
+def _controlled(spark, sf, found: list[sequences.Sequence]):
+    """Each image by the sequence that it draws; gates, parameters and repeats drawn by step."""
+    name, steps = sequences.controlled(found, 67, "vec_id")
     return np_images.degrade(_coloured(spark, sf).withColumn("steps", steps), "vec_id").withColumn("sequence", name)
 
 
+@query("deg_controller")
+def _(spark, sf):
+    return _controlled(spark, sf, NAMED)
+
+
+@query("deg_comprehensive_run")
+def _(spark, sf):
+    return _controlled(spark, sf, COMPREHENSIVE)
+
+
+def _summary(spark, found: list[sequences.Sequence]):
+    rows = [(s.name, s.probability, s.repeat_probability, len(s.steps), " ".join(t.type for t in s.steps)) for s in found]
+    return spark.createDataFrame(rows, "name string, p double, again double, n_steps int, steps string")
+
+
+@query("deg_predefined", """select name, p::double as p, again::double as again, n_steps::int as n_steps, steps from (values
+    ('internet_upload_download', 0.25, 0.3, 7, 'oversharpen colour_temperature lens webp avif jpeg oversharpen'),
+    ('phone_camera_capture', 0.30, 0.0, 7, 'sensor_noise rolling_shutter lens motion_blur chromatic oversharpen heif'),
+    ('dslr_professional', 0.20, 0.0, 6, 'sensor_noise rolling_shutter lens oversharpen colour_temperature jpeg'),
+    ('social_media_upload', 0.25, 0.4, 5, 'oversharpen lens webp jpeg oversharpen')) s(name, p, again, n_steps, steps)""")
+def _(spark, sf):
+    return _summary(spark, NAMED)
+
+
+@query("deg_comprehensive", """select name, p::double as p, again::double as again, n_steps::int as n_steps, steps from (values
+    ('professional_to_internet', 0.20, 0.2, 9, 'gauss_noise blur_by_given_kernel colour_temperature oversharpen jpeg exposure oversharpen lens webp'),
+    ('phone_to_social', 0.25, 0.5, 11, 'sensor_noise rolling_shutter motion_blur oversharpen lens chromatic resize oversharpen webp jpeg oversharpen'),
+    ('social_processing', 0.30, 0.6, 9, 'exposure colour_temperature oversharpen aliasing resize webp oversharpen jpeg motion_blur'),
+    ('legacy_internet', 0.25, 0.4, 7, 'oversharpen gauss_noise jpeg jpeg resize oversharpen jpeg')) s(name, p, again, n_steps, steps)""")
+def _(spark, sf):
+    return _summary(spark, COMPREHENSIVE)
+
+
 @query("deg_pipeline")
 def _(spark, sf):
     """Both orders, every gate, kind, range and mode drawn by row."""

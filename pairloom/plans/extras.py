@@ -210,11 +210,6 @@ def _(spark, sf):
     return chosen.select("p_partkey", "kind", made.alias("k")).select("p_partkey", "kind", F.round(arrays.total(F.col("k")), 6).alias("total"))
 
 
-@query("deg_predefined", "select * from (values ('compression', 0.25::double), ('camera', 0.3::double), ('web', 0.2::double), ('print', 0.25::double)) s(name, p)")
-def _(spark, sf):
-    return spark.createDataFrame([("compression", 0.25), ("camera", 0.3), ("web", 0.2), ("print", 0.25)], "name string, p double")
-
-
 @query("smp_worker_seed", "select event_id, 8 * (event_id % 4) + event_id % 8 + 1234 as seed from events")
 def _(spark, sf):
     i = F.col("event_id")

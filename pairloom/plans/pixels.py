@@ -187,31 +187,6 @@ for _name, _step in {"deg_gauss_noise": ("gauss_noise", {"sigma": 15}), "deg_poi
     _degradation(_name, _step)
 
 
-#: Sequences with their chances and steps.
-SEQUENCES = {
-    "compression": (0.25, [("jpeg", {"quality": 40}), ("resize", {"factor": 0.5}), ("jpeg", {"quality": 70})]),
-    "camera": (0.30, [("motion_blur", {"size": 5, "angle": 20}), ("sensor_noise", {"std": 0.02})]),
-    "web": (0.20, [("oversharpen", {"strength": 1.2}), ("jpeg", {"quality": 60})]),
-    "print": (0.25, [("blur", {"size": 5, "sigma": 1}), ("gauss_noise", {"sigma": 8})]),
-}
-
-
-def _as_column(steps: list[tuple[str, dict]]):
-    return F.array(*[F.struct(F.lit(t).alias("type"), F.create_map(*[F.lit(x) for k, v in p.items() for x in (k, float(v))]).alias("params")) for t, p in steps])
-
-
-@query("deg_controller")
-def _(spark, sf):
-    """Each image by the steps of the sequence that it draws."""
-    drawn = draws.choice([(k, v[0]) for k, v in SEQUENCES.items()], draws.uniform(3, "sequence", "vec_id"))
-    steps = None
-    for name, (_, made) in SEQUENCES.items():
-        steps = F.when(drawn == name, _as_column(made)) if steps is None else steps.when(drawn == name, _as_column(made))
-    three = F.concat("p", F.reverse("p"), "p")
-    rows = images(spark, sf).select("vec_id", F.lit(3).alias("c"), F.lit(8).alias("h"), F.lit(8).alias("w"), three.alias("data"), steps.alias("steps"))
-    return np_images.degrade(rows, "vec_id").withColumn("sequence", drawn)
-
-
 @query("met_ssim")
 def _(spark, sf):
     """Mosaics of four images: 16 x 16, as windows are 11 wide."""

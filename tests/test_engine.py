@@ -7,7 +7,7 @@ import math
 import numpy as np
 import pytest
 from pairloom.functions import arrays, colour
-from pairloom.operators import batch_augment, frames, images, pairing, sequences
+from pairloom.operators import batch_augment, frames, images, named_sequences, pairing, sequences
 from pairloom.operators.sequences import Sequence, Step
 from pairloom.plans import engine
 from pairloom.plans.base import image_pairs
@@ -200,3 +200,28 @@ def test_the_pool_keeps_any_text(spark, tmp_path):
     got = spark.read.parquet(f"{tmp_path}/out").collect()
     assert len(got) == 60 and sum(r.filling for r in got) == 7
     assert all(r.payload == odd[int(r.key[1:]) % len(odd)] for r in got)
+
+
+@pytest.mark.parametrize("text", [named_sequences.PREDEFINED, named_sequences.COMPREHENSIVE])
+def test_named_sequences(text):
+    found = named_sequences.parsed(text)
+    assert len(found) == 4 and sum(s.probability for s in found) == pytest.approx(1)
+    unknown = {t.type for s in found for t in s.steps} - set(images.STEPS)
+    assert unknown <= {"webp", "avif", "heif", "blur_by_given_kernel"}
+    assert all(0 <= t.probability_range[0] <= t.probability_range[1] <= 1 and all(a <= b for a, b in t.parameter_ranges.values()) for s in found for t in s.steps)
+
+
+def test_the_controller_applies_what_it_draws(spark, sf):
+    whole = {r.vec_id: np.float32(r.p + r.p[::-1] + r.p) for r in image_pairs(spark, sf).collect()}
+    rows = [r for r in QUERIES["deg_controller"](spark, sf).collect() if r.vec_id in whole]
+    assert {r.sequence for r in rows} == {s.name for s in engine.NAMED}
+    changed = [r.sequence for r in rows if not np.allclose(r.data, whole[r.vec_id], atol=1e-6)]
+    assert len(changed) > 0.9 * len(rows)
+
+
+def test_colour_and_aliasing_steps():
+    x = np.full((3, 4, 4), 0.5)
+    assert images.colour_temperature(x, 0.2)[:, 0, 0] == pytest.approx([0.53, 0.51, 0.5])
+    assert images.colour_temperature(x, -0.2)[:, 0, 0] == pytest.approx([0.5, 0.51, 0.53])
+    y = np.arange(48.0).reshape(3, 4, 4) / 48
+    assert (images.aliasing(y, 0.5) == y[:, ::2, ::2].repeat(2, 1).repeat(2, 2)).all()
