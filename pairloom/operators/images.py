@@ -291,8 +291,8 @@ def aliasing(x: np.ndarray, scale: float) -> np.ndarray:
 
 #: name -> step(image, params, rng)
 STEPS = {
-    "kernel_blur": lambda x, p, r: filter2d(x, shaped_kernel(int(p["size"]), p["sx"], p["sy"], p["theta"], p["beta"], int(p["shape"]))),
-    "resize_to": lambda x, p, r: resize(x, int(p["h"]), int(p["w"]), MODES[int(p.get("mode", 2))]),
+    "kernel_blur": lambda x, p, r: filter2d(x, shaped_kernel(int(p.get("size", 7)), p.get("sx", 1.0), p.get("sy", 1.0), p.get("theta", 0.0), p.get("beta", 1.0), int(p.get("shape", 0)))),
+    "resize_to": lambda x, p, r: resize(x, int(p.get("h", x.shape[1])), int(p.get("w", x.shape[2])), MODES[int(p.get("mode", 2))]),
     "quantise": lambda x, p, r: np.clip(np.round(x * 255), 0, 255) / 255,
     "blur": lambda x, p, r: filter2d(x, gauss2d(int(p.get("size", 7)), p.get("sigma", 1.0))),
     "sinc": lambda x, p, r: np.clip(filter2d(x, sinc_kernel(p.get("cutoff", 2.0), int(p.get("size", 7)))), 0, 1),
