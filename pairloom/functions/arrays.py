@@ -282,3 +282,29 @@ def multi_crop(pixels: Column, h: int, w: int, size: int, places: list[tuple[Col
     room = lambda u, n: F.least(F.floor(u * (n - size + 1)), F.lit(n - size)).cast("int")
     crops = let(pixels, lambda p: F.array(*[let(F.struct(room(t, h).alias("top"), room(l, w).alias("left")), lambda v: F.struct(v["top"].alias("top"), v["left"].alias("left"), crop(p, w, v["top"], v["left"], size, size).alias("patch"))) for t, l in places]))
     return crops, h, w
+
+
+def to_three(pixels: Column, channels: Column) -> Column:
+    """Cells of one, three or more channels (channel last) as cells of three: gray thrice, or the first three."""
+    whole = F.size(pixels) / channels
+    picked = F.transform(F.sequence(F.lit(0), (whole * 3 - 1).cast("int")), lambda i: F.element_at(pixels, (F.when(channels == 1, F.floor(i / 3)).otherwise(F.floor(i / 3) * channels + i % 3) + 1).cast("int")))
+    return F.when((channels != 1) & (channels < 3), F.raise_error(F.lit("images have one channel, or three and more"))).when(channels == 3, pixels).otherwise(picked)
+
+
+def channels_last(pixels: Column, channels: int) -> Column:
+    """(c, h, w) as (h, w, c)."""
+    cells = (F.size(pixels) / channels).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.size(pixels) - 1), lambda i: F.element_at(pixels, (i % channels * cells + F.floor(i / channels) + 1).cast("int")))
+
+
+def turned(pixels: Column, h: int, w: int, across: Column, down: Column, quarter: Column) -> Column:
+    """Mirrored across, down, and turned by a quarter, where the flags say so. Squares only."""
+    if h != w:
+        raise ValueError("a quarter turn needs a square")
+    for flag, f in ((across, hflip), (down, vflip), (quarter, rot90)):
+        pixels = _when(flag, f, pixels, h, w)
+    return pixels
+
+
+def _when(flag: Column, f, pixels: Column, h: int, w: int) -> Column:
+    return let(pixels, lambda p: F.when(flag, f(p, h, w)).otherwise(p))

@@ -64,3 +64,11 @@ def eta_seconds(total_seconds: Column, done: Column, last: Column) -> Column:
 
 def scalar_route(name: Column) -> Column:
     return F.when(name.startswith("l_"), F.concat(F.lit("losses/"), name)).when(name.startswith("grad_norm_"), F.concat(F.lit("grad_norms/"), name)).when(name.startswith("scale_"), F.concat(F.lit("scales/"), name)).otherwise(name)
+
+
+def delta_text(seconds: Column) -> Column:
+    """Whole seconds as H:MM:SS, after the days, if any."""
+    s = seconds.cast("long")
+    days = F.floor(s / 86400)
+    clock = F.format_string("%d:%02d:%02d", F.floor(F.pmod(s, F.lit(86400)) / 3600), F.floor(F.pmod(s, F.lit(3600)) / 60), F.pmod(s, F.lit(60)))
+    return F.when(days == 0, clock).otherwise(F.concat(days.cast("string"), F.when(F.abs(days) == 1, " day, ").otherwise(" days, "), clock))

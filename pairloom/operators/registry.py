@@ -70,3 +70,20 @@ def strip_common_prefix(keys: list[str], prefixes: list[str]) -> list[str]:
         if keys and all(k.startswith(p) for k in keys):
             return [k[len(p) :] for k in keys]
     return keys
+
+
+def json_compatible(value: Any) -> bool:
+    """Whether a value is of JSON's types all through; keys of objects must be texts."""
+    if isinstance(value, dict):
+        return all(isinstance(k, str) and json_compatible(v) for k, v in value.items())
+    if isinstance(value, (list, tuple)):
+        return all(map(json_compatible, value))
+    return value is None or isinstance(value, (str, int, float, bool))
+
+
+def dump_tree(tree: dict, depth: int = 1) -> str:
+    """Nested options as indented text: a branch between key:[ and ]."""
+    pad, out = "  " * depth, "\n"
+    for k, v in tree.items():
+        out += f"{pad}{k}:[{dump_tree(v, depth + 1)}{pad}]\n" if isinstance(v, dict) else f"{pad}{k}: {v}\n"
+    return out
