@@ -225,3 +225,9 @@ def test_colour_and_aliasing_steps():
     assert images.colour_temperature(x, -0.2)[:, 0, 0] == pytest.approx([0.5, 0.51, 0.53])
     y = np.arange(48.0).reshape(3, 4, 4) / 48
     assert (images.aliasing(y, 0.5) == y[:, ::2, ::2].repeat(2, 1).repeat(2, 2)).all()
+
+
+def test_a_line_filter_is_the_square_one():
+    x = np.random.default_rng(1).random((3, 9, 7))
+    for size in (3, 11, 51):
+        assert images.line_filter(x, images.gauss1d(size, size / 5)) == pytest.approx(images.filter2d(x, images.gauss2d(size, size / 5)))
