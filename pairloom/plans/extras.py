@@ -18,25 +18,6 @@ def _(spark, sf):
     return manifests.listing(spark, sf, ".parquet").select("rel_path", "size")
 
 
-@query("src_lmdb_backend", "select e.event_id, d.n_chars from (select event_id, event_id % 1500 as doc_id from events) e left join documents d using (doc_id)")
-def _(spark, sf):
-    keys = table(spark, sf, "events").select("event_id", (F.col("event_id") % 1500).alias("doc_id"))
-    return keys.join(table(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id", "left").select("event_id", "n_chars")
-
-
-@query("src_single_image", f"select vec_id, len(a)::int as n, round({summed('list_transform(a, lambda x, i: x * i)')}, 6) as digest from (select vec_id, list_transform(p, lambda x: (x - 0.5) / 0.25) as a from {IMG})")
-def _(spark, sf):
-    return images(spark, sf).select("vec_id", F.transform("p", lambda x: (x - 0.5) / 0.25).alias("a")).select("vec_id", *_digest(F.col("a")))
-
-
-@query("src_paired_image", "select d.doc_id, d.source || '/' || d.doc_id || '.png' as gt_path, 'lr/' || d.doc_id || '.png' as lq_path, n_chars * 4 as gt_h, n_chars as lq_h from documents d join labels using (doc_id) where n_chars >= 32")
-def _(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.concat("source", F.lit("/"), "doc_id", F.lit(".png")).alias("gt_path"), F.col("n_chars").alias("lq_h"), (F.col("n_chars") * 4).alias("gt_h"))
-    lq = table(spark, sf, "labels").select("doc_id", F.concat(F.lit("lr/"), "doc_id", F.lit(".png")).alias("lq_path"))
-    both = pairing.pair(lq, d, ["doc_id"]).withColumn("lq_w", F.col("lq_h")).withColumn("gt_w", F.col("gt_h"))
-    return pairing.scale_check(both, 4, 32).where("ok").select("doc_id", "gt_path", "lq_path", "gt_h", "lq_h")
-
-
 @query("src_paired_video", "select user_id, start, centre from (select user_id, row_number() over w - 1 as start, list(event_id) over (partition by user_id order by ts, event_id rows between current row and 4 following) as clip, lead(event_id, 2) over w as centre from events where event_id % 3 <> 0 window w as (partition by user_id order by ts, event_id)) where len(clip) = 5")
 def _(spark, sf):
     gt = frames(spark, sf).where("event_id % 3 != 0").select("user_id", "event_id")

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-import os
+from urllib.parse import unquote
 
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
+def file_system(root: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    if root.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + unquote(root[5:]).lstrip("/")
+    return pafs.FileSystem.from_uri(root) if "://" in root else (pafs.LocalFileSystem(), root)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -45,25 +53,40 @@ def csv_bench(rows: DataFrame) -> DataFrame:
     return kept.select(F.trim(F.concat_ws(" ", "name", "variant")).alias("display"), F.col("scale").cast("int").alias("scale"), *[F.expr(f"try_cast({c} as double)").alias(c) for c in numbers])
 
 
+class Folders(InputPartition):
+    """Folders of one task, each with all that lies below it, or the files of the root alone."""
+
+    def __init__(self, names: list[str], below: bool):
+        self.names, self.below = names, below
+
+
 class ListingReader(DataSourceReader):
+    """The driver lists the root's own folders only; tasks go through what is below them."""
+
     def __init__(self, options):
         self.root, self.suffix = options["path"], options.get("suffix", "")
         self.recursive = options.get("recursive", "false").lower() == "true"
+        self.tasks = int(options.get("tasks", "64"))
 
     def partitions(self):
-        return [InputPartition(0)]
+        top = [rel for rel, info in self._entries("") if info.type == pafs.FileType.Directory] if self.recursive else []
+        dealt = [top[k :: self.tasks] for k in range(min(self.tasks, len(top)))]
+        return [Folders([""], False), *(Folders(names, True) for names in dealt)]
+
+    def _entries(self, rel: str):
+        system, base = file_system(self.root)
+        found = system.get_file_info(pafs.FileSelector(f"{base.rstrip('/')}/{rel}" if rel else base))
+        return sorted(((f"{rel}/{i.base_name}" if rel else i.base_name, i) for i in found), key=lambda e: e[0])
 
     def read(self, partition):
-        stack = [""]
+        stack = list(partition.names)
         while stack:
-            rel = stack.pop()
-            for entry in sorted(os.scandir(os.path.join(self.root, rel)), key=lambda e: e.name):
-                name = f"{rel}/{entry.name}" if rel else entry.name
-                if entry.is_dir():
-                    if self.recursive:
+            for name, info in self._entries(stack.pop()):
+                if info.type == pafs.FileType.Directory:
+                    if partition.below:
                         stack.append(name)
-                elif not entry.name.startswith(".") and name.endswith(self.suffix):
-                    yield self.root, name, entry.stat().st_size
+                elif not info.base_name.startswith(".") and name.endswith(self.suffix):
+                    yield self.root, name, info.size
 
 
 class Listing(DataSource):
