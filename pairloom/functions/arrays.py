@@ -216,6 +216,54 @@ def gaussian_kernel(size: int, sigma_x: Column, sigma_y: Column, theta: Column,
     return let(let(cov, cells), lambda a: F.zip_with(a, F.array_repeat(total(a), size * size), lambda v, t: v / t))
 
 
+def gaussian_density(size: int, xx: Column, xy: Column, yy: Column) -> Column:
+    """exp(-q / 2) over size x size cells around the centre, q the quadratic form of the inverse of a covariance; not normalised."""
+    half = size // 2
+
+    def cells(v):
+        def value(i):
+            y, x = F.floor(i / size) - half, i % size - half
+            return F.exp(-0.5 * (v["yy"] * x * x - 2.0 * v["xy"] * x * y + v["xx"] * y * y) / (v["xx"] * v["yy"] - v["xy"] * v["xy"]))
+
+        return F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), value)
+
+    return let(F.struct(xx.alias("xx"), xy.alias("xy"), yy.alias("yy")), cells)
+
+
+def motion_kernel(size: int, degrees: Column) -> Column:
+    """Equal weights, sum 1, on the cells less than half a cell from a line through the centre: rows go with the cosine."""
+    half = size // 2
+
+    def cells(v):
+        near = lambda i: F.abs((F.floor(i / size) - half) * v["c"] + (i % size - half) * v["s"]) < 0.5
+        return F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), lambda i: near(i).cast("double"))
+
+    return let(let(F.struct(F.cos(F.radians(degrees)).alias("c"), F.sin(F.radians(degrees)).alias("s")), cells), lambda a: F.transform(a, lambda x: x / total(a)))
+
+
+def rotated(pixels: Column, h: int, w: int, degrees: Column, scale: float = 1.0) -> Column:
+    """Turned counter-clockwise around (w // 2, h // 2) and scaled; bilinear, black outside."""
+    cx, cy = w // 2, h // 2
+
+    def at(v, i):
+        x, y = i % w - cx, F.floor(i / w) - cy
+
+        def value(t):
+            left, top = F.floor(t["x"]), F.floor(t["y"])
+
+            def cell(r, c):
+                inside = (r >= 0) & (r < h) & (c >= 0) & (c < w)
+                return F.when(inside, F.element_at(pixels, (F.greatest(r, F.lit(0)) * w + F.greatest(c, F.lit(0)) + 1).cast("int"))).otherwise(0.0)
+
+            fx, fy = t["x"] - left, t["y"] - top
+            return (cell(top, left) * (1 - fx) + cell(top, left + 1) * fx) * (1 - fy) + (cell(top + 1, left) * (1 - fx) + cell(top + 1, left + 1) * fx) * fy
+
+        return let(F.struct(((v["c"] * x - v["s"] * y) / scale + cx).alias("x"), ((v["s"] * x + v["c"] * y) / scale + cy).alias("y")), value)
+
+    turn = F.struct(F.cos(F.radians(degrees)).alias("c"), F.sin(F.radians(degrees)).alias("s"))
+    return let(turn, lambda v: F.transform(F.sequence(F.lit(0), F.lit(h * w - 1)), lambda i: at(v, i)))
+
+
 def noised_kernel(kernel: Column, noise: Column) -> Column:
     """A kernel times as many factors, sum 1 again."""
     return let(F.zip_with(kernel, noise, lambda k, n: k * n), lambda a: F.transform(a, lambda v: v / total(a)))

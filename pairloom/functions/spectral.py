@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from pairloom.functions.flip import flip
 from pairloom.operators.images import filter2d, gauss2d, resize, ssim, zero_filter2d
 
 
@@ -203,12 +204,12 @@ def contextual(a: np.ndarray, b: np.ndarray, bandwidth: float = 0.5) -> float:
 
 LOSSES = {
     "FFLoss": focal_frequency, "LaplacianPyramidLoss": laplacian_pyramid, "GradientVarianceLoss": gradient_variance, "CheckerboardLoss": checkerboard, "ConsistencyLoss": consistency,
-    "PixelContextualLoss": contextual, "SSIMLoss": lambda a, b: 1 - ssim(a, b, 1.0), "MSSIMLoss": lambda a, b: 1 - multiscale_ssim(a, b), "MSSSIML1Loss": multiscale_ssim_l1, "BicubicLoss": bicubic, "ColorLoss": colour_boxes,
+    "PixelContextualLoss": contextual, "SSIMLoss": lambda a, b: 1 - ssim(a, b, 1.0), "MSSIMLoss": lambda a, b: 1 - multiscale_ssim(a, b), "MSSSIML1Loss": multiscale_ssim_l1, "BicubicLoss": bicubic, "ColorLoss": colour_boxes, "FLIPLoss": flip,
     # the smoother output is the image itself, half way to its target
     "LDLLoss": lambda a, b: discriminative(a, b, (a + b) / 2),
 }
 #: Losses of images with three channels.
-RGB = {"CheckerboardLoss", "ConsistencyLoss", "GradientVarianceLoss", "MSSIMLoss", "MSSSIML1Loss", "ColorLoss", "LDLLoss"}
+RGB = {"CheckerboardLoss", "ConsistencyLoss", "GradientVarianceLoss", "MSSIMLoss", "MSSSIML1Loss", "ColorLoss", "LDLLoss", "FLIPLoss"}
 
 
 def pair_losses(pairs: DataFrame, key: str, names: list[str]) -> DataFrame:

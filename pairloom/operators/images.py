@@ -133,6 +133,42 @@ def resampled(x: np.ndarray, h: int, w: int, mode: str = "bicubic") -> np.ndarra
     return np.einsum("ah,chw,bw->cab", weights_of(x.shape[1], h, width, kernel), x, weights_of(x.shape[2], w, width, kernel))
 
 
+def _points(n: int, m: int) -> np.ndarray:
+    """m x n: cubic weights (-0.75) of the four cells around each point, never widened; the edge cells go on outside."""
+    at = (np.arange(m) + 0.5) * n / m - 0.5
+    out = np.zeros((m, n))
+    for k in range(-1, 3):
+        cell = np.floor(at).astype(int) + k
+        np.add.at(out, (np.arange(m), cell.clip(0, n - 1)), _cubic(-0.75)(at - cell))
+    return out
+
+
+def _lanczos_line(n: int, m: int, a: int = 3) -> np.ndarray:
+    """n x n: a low pass for shrinking n cells to m, mirrored at the edge cells."""
+    ratio = m / n
+    last = math.ceil(a / ratio + 1) - 2
+    k = np.arange(-last, last + 1)
+    t = k * ratio
+    w = np.where(np.abs(t) < a, np.sinc(t) * np.sinc(t / a), 0.0)
+    cell = np.abs(np.arange(n)[:, None] + k)
+    if last > n - 1:
+        raise ValueError(f"{n} cells cannot be mirrored for a filter of {last} to each side")
+    out = np.zeros((n, n))
+    np.add.at(out, (np.repeat(np.arange(n), len(k)), np.where(cell > n - 1, 2 * (n - 1) - cell, cell).ravel()), np.tile(w / w.sum(), n))
+    return out
+
+
+def lanczos_resize(x: np.ndarray, h: int, w: int) -> np.ndarray:
+    """A Lanczos low pass where the image shrinks, then cubic points."""
+    down, across = (_points(n, m) @ (_lanczos_line(n, m) if m < n else np.eye(n)) for n, m in ((x.shape[1], h), (x.shape[2], w)))
+    return np.clip(np.einsum("ah,chw,bw->cab", down, x, across), 0, 1)
+
+
+def truncated_catrom(x: np.ndarray, factor: float) -> np.ndarray:
+    """Catmull-Rom to a share of the size; values are cut, not rounded, to steps of 1/255."""
+    return np.floor(resize(x, round(x.shape[1] * factor), round(x.shape[2] * factor), "catrom") * 255) / 255
+
+
 def resize(x: np.ndarray, h: int, w: int, mode: str = "bicubic") -> np.ndarray:
     return np.clip(resampled(x, h, w, mode), 0, 1)
 
@@ -319,6 +355,8 @@ STEPS = {
     "demosaic": lambda x, p, r: demosaic(x),
     "aliasing": lambda x, p, r: aliasing(x, p.get("scale", 0.5)),
     "colour_temperature": lambda x, p, r: colour_temperature(x, p.get("shift", 0.1)),
+    "lanczos": lambda x, p, r: lanczos_resize(x, int(p.get("h", x.shape[1])), int(p.get("w", x.shape[2]))),
+    "catrom": lambda x, p, r: truncated_catrom(x, p.get("factor", 0.5)),
     "unsharp": lambda x, p, r: unsharp(x, p.get("weight", 0.5), int(p.get("size", 11))),
 }
 

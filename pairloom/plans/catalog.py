@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pairloom.plans import engine, extras, files, pixels, relational, widen  # noqa: F401  all register their queries
+from pairloom.plans import dispatch, engine, extras, files, pixels, relational, widen  # noqa: F401  all register their queries
 from pairloom.plans.base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

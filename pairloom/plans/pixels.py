@@ -183,7 +183,7 @@ def _degradation(name: str, *steps):
         return _steps(spark, sf, list(steps))
 
 
-for _name, _step in {"deg_gauss_noise": ("gauss_noise", {"sigma": 15}), "deg_poisson": ("poisson_noise", {"scale": 1}), "deg_diffjpeg": ("jpeg", {"quality": 60}), "deg_motion_blur": ("motion_blur", {"size": 5, "angle": 30}), "deg_lens": ("lens", {"k": 0.1}), "deg_sensor": ("sensor_noise", {"std": 0.02}), "deg_rolling": ("rolling_shutter", {"strength": 0.1}), "deg_oversharpen": ("oversharpen", {"strength": 1}), "deg_chromatic": ("chromatic", {}), "deg_demosaic": ("demosaic", {}), "arr_chroma420": ("chroma420", {}), "arr_usm": ("unsharp", {"size": 7}), "arr_filter2d": ("blur", {"size": 5, "sigma": 1.2}), "arr_resize": ("resize", {"factor": 0.5}), "ker_sinc": ("sinc", {"cutoff": 1.5, "size": 7})}.items():
+for _name, _step in {"deg_gauss_noise": ("gauss_noise", {"sigma": 15}), "deg_poisson": ("poisson_noise", {"scale": 1}), "deg_diffjpeg": ("jpeg", {"quality": 60}), "deg_motion_blur": ("motion_blur", {"size": 5, "angle": 30}), "deg_lens": ("lens", {"k": 0.1}), "deg_sensor": ("sensor_noise", {"std": 0.02}), "deg_rolling": ("rolling_shutter", {"strength": 0.1}), "deg_oversharpen": ("oversharpen", {"strength": 1}), "deg_chromatic": ("chromatic", {}), "deg_demosaic": ("demosaic", {}), "arr_chroma420": ("chroma420", {}), "arr_usm": ("unsharp", {"size": 7}), "arr_filter2d": ("blur", {"size": 5, "sigma": 1.2}), "arr_resize": ("resize", {"factor": 0.5}), "arr_lanczos": ("lanczos", {"h": 5, "w": 8}), "arr_catrom_resize": ("catrom", {"factor": 0.5}), "ker_sinc": ("sinc", {"cutoff": 1.5, "size": 7})}.items():
     _degradation(_name, _step)
 
 
