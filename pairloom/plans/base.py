@@ -55,3 +55,16 @@ def summed(values: str) -> str:
 def zipped(f: str) -> str:
     """DuckDB: f over z[1] and z[2] of p and q."""
     return f"list_transform(list_zip(p, q), lambda z: {f})"
+
+
+#: Channels of all pixels of an image p, or of p beside q: p itself, p from its end, and p from its middle on.
+PIXELS = """select vec_id, i, {a}[i + 1] as r, {a}[64 - i] as g, {a}[(i + 32) % 64 + 1] as b from (select *, unnest(range(0, 64)) as i from {source})"""
+
+
+def over_pixels(pixels: str, body):
+    """body(r, g, b) of every pixel of an array, in order: the same channels as PIXELS."""
+
+    def cell(x, i):
+        return F.struct(x.alias("r"), F.element_at(pixels, (64 - i).cast("int")).alias("g"), F.element_at(pixels, ((i + 32) % 64 + 1).cast("int")).alias("b"))
+
+    return F.transform(F.transform(pixels, cell), lambda v: body(v["r"], v["g"], v["b"]))

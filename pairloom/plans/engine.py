@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 from pairloom.functions import arrays, colour, draws
 from pairloom.operators import batch_augment, images as np_images, named_sequences, sequences
 from pairloom.operators.sequences import Step
-from pairloom.plans.base import IMG, PAIR, image_pairs, images, query
+from pairloom.plans.base import IMG, PAIR, PIXELS as _PIXELS, image_pairs, images, query
 from pairloom.plans.pixels import _digest
 from pairloom.sources.manifests import table
 
-#: Channels of an image p, or of p beside q: p itself, p from its end, and p from its middle on.
-_PIXELS = """select vec_id, i, {a}[i + 1] as r, {a}[64 - i] as g, {a}[(i + 32) % 64 + 1] as b from (select *, unnest(range(0, 64)) as i from {source})"""
-
 
 def _hsluv_sql(pixels: str) -> str:
     """DuckDB: vec_id, i, h, s, l of pixels, one step of the conversion after the other."""

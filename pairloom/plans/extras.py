@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import arrays, colour, draws, spectral
 from pairloom.operators import aggregates, batch_augment, frames as fr, pairing
-from pairloom.plans.base import IMG, PAIR, frames, image_pairs, images, query, summed, zipped
-from pairloom.plans.pixels import CB, CR, LUM, RGB, Y, _digest, clip, rgb
+from pairloom.plans.base import PAIR, PIXELS, frames, image_pairs, images, over_pixels, query, summed, zipped
+from pairloom.plans.pixels import CB, CR, LUM, Y, _colour, _digest, clip
 from pairloom.plans.relational import CLIP, NAMES, names
 from pairloom.sources import manifests
 from pairloom.sources.manifests import table
@@ -125,24 +125,22 @@ def _(spark, sf):
     return table(spark, sf, "part").select("p_partkey", F.concat(F.rpad("p_brand", 12, " "), F.lpad(cell, 8, " ")).alias("line"))
 
 
-def _colours(name, columns, fn, sql, source=RGB):
-    @query(name, f"select vec_id, {', '.join(f'round({e}, 6) as {c}' for c, e in zip(columns, sql))} from {source}")
-    def _(spark, sf):
-        return rgb(spark, sf).select("vec_id", *[F.round(e, 6).alias(c) for c, e in zip(columns, fn(F.col("r"), F.col("g"), F.col("b")), strict=True)])
-
-
 _yy, _bb, _rr = "(r * 255 - 16)", "(g * 255 - 128)", "(b * 255 - 128)"
-_colours("col_ycbcr2bgr", ["b", "g", "r"], lambda y, cb, cr: colour.rgb601(y, cb, cr)[::-1], [clip(f"(1.164 * {_yy} + 2.017 * {_bb}) / 255"), clip(f"(1.164 * {_yy} - 0.392 * {_bb} - 0.813 * {_rr}) / 255"), clip(f"(1.164 * {_yy} + 1.596 * {_rr}) / 255")])
-_colours("col_rgb2ycbcr_pt", ["y", "cb", "cr"], colour.ycbcr601, [Y, CB, CR])
-_colours("col_rgb2pixelformat", ["y"], lambda r, g, b: (colour.luma601(r, g, b),), [Y])
-_colours("num_chroma_swap", ["b2", "g2", "r2"], lambda r, g, b: (b, g, r), ["b", "g", "r"])
-_colours("num_img2float32", ["x"], lambda r, g, b: (colour.clamp01(colour.to_uint8(r) / 255.0),), [clip(f"round_even({clip('r')} * 255, 0) / 255")])
+_colour("col_ycbcr2bgr", ["b", "g", "r"], lambda y, cb, cr: colour.rgb601(y, cb, cr)[::-1], [clip(f"(1.164 * {_yy} + 2.017 * {_bb}) / 255"), clip(f"(1.164 * {_yy} - 0.392 * {_bb} - 0.813 * {_rr}) / 255"), clip(f"(1.164 * {_yy} + 1.596 * {_rr}) / 255")])
+_colour("col_rgb2ycbcr_pt", ["y", "cb", "cr"], colour.ycbcr601, [Y, CB, CR])
+_colour("col_rgb2pixelformat", ["y"], lambda r, g, b: (colour.luma601(r, g, b),), [Y])
+_colour("num_chroma_swap", ["b2", "g2", "r2"], lambda r, g, b: (b, g, r), ["b", "g", "r"])
+_colour("num_img2float32", ["x"], lambda r, g, b: (colour.clamp01(colour.to_uint8(r) / 255.0),), [clip(f"round_even({clip('r')} * 255, 0) / 255")])
+
+_LUMA = f"(case when {LUM} <= 216.0 / 24389.0::double then {LUM} * (24389.0 / 27.0::double) else pow({LUM}, 1.0 / 3.0::double) * 116 - 16 end) / 100"
+_LUMAS = lambda a: f"(select vec_id, i, {_LUMA} as l from ({PIXELS.format(a=a, source=PAIR)}))"
 
 
-@query("LumaLoss", f"select vec_id, round(abs(a - b), 6) as value from (select x.vec_id, x.l as a, y.l as b from (select vec_id, (case when {LUM} <= 216.0 / 24389.0::double then {LUM} * (24389.0 / 27.0::double) else pow({LUM}, 1.0 / 3.0::double) * 116 - 16 end) / 100 as l from {RGB}) x join (select vec_id, (case when {LUM} <= 216.0 / 24389.0::double then {LUM} * (24389.0 / 27.0::double) else pow({LUM}, 1.0 / 3.0::double) * 116 - 16 end) / 100 as l from {RGB}) y on y.vec_id = x.vec_id + 1)")
+@query("LumaLoss", f"select vec_id, round(avg(abs(x.l - y.l)), 6) as value from {_LUMAS('p')} x join {_LUMAS('q')} y using (vec_id, i) group by vec_id")
 def _(spark, sf):
-    l = rgb(spark, sf).select("vec_id", colour.luminance(F.col("r"), F.col("g"), F.col("b")).alias("l"))  # noqa: E741
-    return l.join(l.select((F.col("vec_id") - 1).alias("vec_id"), F.col("l").alias("m")), "vec_id").select("vec_id", F.round(F.abs(F.col("l") - F.col("m")), 6).alias("value"))
+    """Mean difference of the luma of all pixels."""
+    p, q = (over_pixels(n, colour.luminance) for n in "pq")
+    return image_pairs(spark, sf).select("vec_id", F.round(arrays.l1(p, q), 6).alias("value"))
 
 
 @query("arr_uniform_crop", "select p_partkey, y, x from (select p_partkey, unnest(range(0, 64 + p_size - 32 + 1, 16)) as y, p_size from part), (select unnest(range(0, 33, 16)) as x)")

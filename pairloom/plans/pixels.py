@@ -6,23 +6,23 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import arrays, colour, draws
 from pairloom.operators import images as np_images
-from pairloom.plans.base import IMG, PAIR, image_pairs, images, query, summed, zipped
+from pairloom.plans.base import IMG, PAIR, PIXELS, image_pairs, images, over_pixels, query, summed, zipped
 
-RGB = f"(select vec_id, p[1] as r, p[2] as g, p[3] as b from {IMG})"
-
-
-def rgb(spark, sf):
-    return images(spark, sf).select("vec_id", *[F.element_at("p", k + 1).alias(c) for k, c in enumerate("rgb")])
+RGB = f"({PIXELS.format(a='p', source=IMG)})"
 
 
 def _colour(name: str, columns: list[str], fn, sql: list[str], source: str = RGB):
-    body = ", ".join(f"round({e}, 6) as {c}" for c, e in zip(columns, sql, strict=True))
+    """Place-weighted sums over all pixels of each image, by column."""
+    body = ", ".join(f"round(sum(({e})::double * (i + 1)), 4) as {c}" for c, e in zip(columns, sql, strict=True))
 
-    @query(name, f"select vec_id, {body} from {source}")
+    @query(name, f"select vec_id, {body} from {source} group by vec_id")
     def _(spark, sf):
-        out = fn(F.col("r"), F.col("g"), F.col("b"))
-        out = out if isinstance(out, tuple) else (out,)
-        return rgb(spark, sf).select("vec_id", *[F.round(e, 6).alias(c) for c, e in zip(columns, out, strict=True)])
+        def made(r, g, b):
+            out = fn(r, g, b)
+            return F.struct(*[e.cast("double").alias(c) for c, e in zip(columns, out if isinstance(out, tuple) else (out,), strict=True)])
+
+        rows = images(spark, sf).select("vec_id", over_pixels("p", made).alias("a"))
+        return rows.select("vec_id", *[F.round(arrays.total(F.transform(f"a.{c}", lambda x, i: x * (i + 1))), 4).alias(c) for c in columns])
 
 
 Y, CB, CR = "(65.481 * r + 128.553 * g + 24.966 * b + 16.0) / 255", "(-37.797 * r - 74.203 * g + 112.0 * b + 128.0) / 255", "(112.0 * r - 93.786 * g - 18.214 * b + 128.0) / 255"
@@ -35,7 +35,7 @@ _f = [FLAB(v, w) for v, w in zip((_X, _Yx, _Z), colour.WHITE, strict=True)]
 
 _colour("col_to_y", ["y"], colour.luma601, [Y])
 _colour("col_rgb2ycbcr", ["y", "cb", "cr"], colour.ycbcr601, [Y, CB, CR])
-_colour("col_bgr2ycbcr", ["y", "cb", "cr"], lambda b, g, r: colour.ycbcr601(r, g, b), [Y, CB, CR], f"(select vec_id, b as r, g, r as b from {RGB})")
+_colour("col_bgr2ycbcr", ["y", "cb", "cr"], lambda b, g, r: colour.ycbcr601(r, g, b), [Y, CB, CR], f"(select vec_id, i, b as r, g, r as b from {RGB})")
 _yy, _bb, _rr = "(r * 255 - 16)", "(g * 255 - 128)", "(b * 255 - 128)"
 _colour("col_ycbcr2rgb", ["r", "g", "b"], colour.rgb601, [clip(f"(1.164 * {_yy} + 1.596 * {_rr}) / 255"), clip(f"(1.164 * {_yy} - 0.392 * {_bb} - 0.813 * {_rr}) / 255"), clip(f"(1.164 * {_yy} + 2.017 * {_bb}) / 255")])
 _colour("col_linear", ["lr", "lg", "lb"], lambda r, g, b: (colour.linear(r), colour.linear(g), colour.linear(b)), [LIN("r"), LIN("g"), LIN("b")])
@@ -48,7 +48,7 @@ _colour("num_to_float01", ["x"], lambda r, g, b: colour.clamp01(r), [clip("r")])
 _colour("num_tensor2img", ["x"], lambda r, g, b: colour.to_uint8(r), [f"round_even({clip('r')} * 255, 0)::int"])
 _colour("num_tensor2img_fast", ["x"], lambda r, g, b: colour.to_uint8_fast(r), [f"trunc({clip('r')} * 255)::int"])
 _colour("num_clamp_round", ["x"], lambda r, g, b: colour.quantised(r), [clip("round_even(r * 255, 0) / 255")])
-_colour("num_jpeg_factor", ["f"], lambda r, g, b: colour.jpeg_factor(F.floor(r * 90) + 5), ["(case when floor(r * 90) + 5 < 50 then 5000 / (floor(r * 90) + 5) else 200 - 2 * (floor(r * 90) + 5) end) / 100"])
+_colour("num_jpeg_factor", ["f"], lambda r, g, b: colour.jpeg_factor(F.greatest(F.floor(r * 90) + 5, F.lit(1))), ["(case when floor(r * 90) + 5 < 50 then 5000 / greatest(floor(r * 90) + 5, 1) else 200 - 2 * (floor(r * 90) + 5) end) / 100"])
 _colour("num_diff_round", ["x"], lambda r, g, b: colour.smooth_round(r * 10), ["round_even(r * 10, 0) + pow(r * 10 - round_even(r * 10, 0), 3)"])
 
 

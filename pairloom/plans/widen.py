@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import arrays, colour, draws
 from pairloom.operators import frames as fr, images as np_images, sequences
-from pairloom.plans.base import IMG, PAIR, frames, image_pairs, images, query
-from pairloom.plans.engine import _PIXELS, _coloured
+from pairloom.plans.base import IMG, PAIR, PIXELS as _PIXELS, frames, image_pairs, images, query
+from pairloom.plans.engine import _coloured
 from pairloom.plans.extras import _pairs16
 from pairloom.plans.pixels import CB, CR, Y, _digest, grid
 from pairloom.sources.manifests import table

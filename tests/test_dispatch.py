@@ -156,6 +156,7 @@ class Run:
 
 
 def test_strict_options():
+    pytest.importorskip("yaml")
     text = "name: a\nscale: 4\nrate: 2\ndatasets:\n  val_1: {name: x, roots: ~/d, std: [1, 2.5]}\n"
     got = options.load(text, Run)
     assert got == Run("a", 4, {"val_1": Dataset("x", "~/d", [1.0, 2.5])}, False, 2.0) and isinstance(got.rate, float)
@@ -174,6 +175,7 @@ def test_derived_options():
 
 
 def test_differences_from_a_template():
+    pytest.importorskip("yaml")
     template = {"a": 1, "b": {"c": 2, "d": [1, 2]}, "losses": [{"type": "x", "w": 1}, {"type": "y", "w": 1}], "gone": 0}
     user = {"a": 1, "b": {"c": 3, "d": [1, 5, 6]}, "losses": [{"type": "x", "w": 2}, {"type": "y", "w": 1}, {"type": "z"}], "new": {"k": 1}}
     assert options.differences(user, template) == [("b.c", 3), ("b.d.1", 5), ("b.d.2", 6), ("losses", [{"type": "x", "w": 2}, {"type": "z"}]), ("new", {"k": 1}), ("gone", None)]
