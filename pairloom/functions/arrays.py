@@ -282,28 +282,6 @@ def spread_point(size: int, sigma: Column) -> Column:
     return let(cells, lambda a: F.flatten(F.transform(a, lambda y: F.transform(a, lambda x: y * x))))
 
 
-def normal_cdf(x: Column) -> Column:
-    """Of the standard normal, from the series x + x^3 / 3 + x^5 / 15 ..., whose terms have one sign; flat beyond 8."""
-
-    def of(v):
-        step = lambda s, k: F.struct((s["term"] * v * v / (2 * k + 1)).alias("term"), (s["sum"] + s["term"] * v * v / (2 * k + 1)).alias("sum"))
-        series = F.aggregate(F.sequence(F.lit(1), F.lit(150)), F.struct(v.alias("term"), v.alias("sum")), step, lambda s: s["sum"])
-        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.5 + series * F.exp(-v * v / 2) / 2.5066282746310002))
-
-    return let(F.greatest(F.lit(-8.0), F.least(F.lit(8.0), x.cast("double"))), of)
-
-
-def skewed_cdf(size: int, d: tuple[tuple[float, float], tuple[float, float]]) -> Column:
-    """Of a size x size grid about 0 times a matrix: the standard normal's distribution function in two dimensions."""
-    half = size // 2
-
-    def at(i):
-        y, x = (F.floor(i / size) - half).cast("double"), (i % size - half).cast("double")
-        return normal_cdf(x * d[0][0] + y * d[1][0]) * normal_cdf(x * d[0][1] + y * d[1][1])
-
-    return F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), at)
-
-
 def bilinear(pixels: Column, h: int, w: int, scale: float) -> tuple[Column, int, int]:
     """Enlarged or shrunk between the four nearest cells, edges aligned, without a filter; and its size."""
     new_h, new_w = int(h * scale), int(w * scale)

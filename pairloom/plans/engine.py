@@ -67,7 +67,7 @@ def _(spark, sf):
 def _(spark, sf):
     """A 7 x 7 grid under a matrix by the part's size."""
     turn = table(spark, sf, "part").select("p_partkey", (F.col("p_size") / 25.0).alias("a"))
-    return turn.select("p_partkey", "a", arrays.skewed_cdf(7, ((F.col("a"), 0.25), (-0.25, F.col("a")))).alias("k"))
+    return np_images.skewed_cdf(turn, 7, ((F.col("a"), 0.25), (-0.25, F.col("a"))))
 
 
 _W = "exp(-0.5 * pow(d / sigma, 2))"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -41,6 +42,21 @@ def test_cdf_kernel_by_the_error_function(spark, sf):
         assert r.k == pytest.approx(want, abs=1e-12)
 
 
+def test_cdf_kernel_of_many_matrices(spark, tmp_path):
+    """The tails keep their digits, a null size has no kernel, and a task does 40,000 different matrices in seconds."""
+    phi = lambda x: 0.5 * math.erfc(-x / math.sqrt(2))
+    sizes = spark.createDataFrame([(0, 50), (1, 200), (2, None)], "p_partkey long, p_size int")
+    sizes.write.parquet(f"{tmp_path}/part.parquet")
+    got = {r.p_partkey: r for r in QUERIES["ker_cdf"](spark, str(tmp_path)).collect()}
+    for n in (0, 1):
+        a = got[n].a
+        assert got[n].k == pytest.approx([phi(x * a - y * 0.25) * phi(x * 0.25 + y * a) for y in range(-3, 4) for x in range(-3, 4)], rel=1e-9, abs=0)
+    assert got[2].a is None and got[2].k is None
+    began = time.time()
+    many = images.skewed_cdf(spark.range(0, 40_000, 1, 1).withColumn("a", F.col("id") / 20_000), 7, ((F.col("a"), 0.25), (-0.25, F.col("a"))))
+    assert many.agg(F.sum(F.size("k"))).first()[0] == 49 * 40_000 and time.time() - began < 30
+
+
 def test_point_kernel(spark):
     k = np.array(spark.range(1).select(arrays.spread_point(13, F.lit(1.6)).alias("k")).first().k).reshape(13, 13)
     line = np.exp(-0.5 * (np.arange(-6, 7) / 1.6) ** 2)
