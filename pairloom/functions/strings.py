@@ -72,3 +72,11 @@ def delta_text(seconds: Column) -> Column:
     days = F.floor(s / 86400)
     clock = F.format_string("%d:%02d:%02d", F.floor(F.pmod(s, F.lit(86400)) / 3600), F.floor(F.pmod(s, F.lit(3600)) / 60), F.pmod(s, F.lit(60)))
     return F.when(days == 0, clock).otherwise(F.concat(days.cast("string"), F.when(F.abs(days) == 1, " day, ").otherwise(" days, "), clock))
+
+
+def signed_clock(seconds: Column) -> Column:
+    """Whole seconds as the SQL of date_eta writes those below zero: H:MM:SS of parts cut towards zero, each with its sign, minutes and seconds in two characters."""
+    s = seconds.cast("long")
+    two = lambda part: F.lpad(part.cast("string"), 2, "0")
+    whole = lambda a, n: F.call_function("div", a, F.lit(n))
+    return F.concat(whole(s % 86400, 3600).cast("string"), F.lit(":"), two(whole(s % 3600, 60)), F.lit(":"), two(s % 60))

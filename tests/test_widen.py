@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime
 
+import duckdb
 import numpy as np
 import pytest
 from pairloom.functions import arrays, strings
 from pairloom.operators import images, registry
 from pairloom.plans.base import image_pairs
-from pairloom.plans.catalog import QUERIES
+from pairloom.plans.catalog import ORACLE, QUERIES
 from pyspark.sql import functions as F
 
 
@@ -49,6 +50,19 @@ def test_spans_of_time(spark):
     assert [r[0] for r in df.select(strings.delta_text(F.col("s"))).collect()] == [str(datetime.timedelta(seconds=s)) for s in seconds]
 
 
+def test_eta_past_the_last_iteration(spark, tmp_path):
+    """Rows of the query's SQL where it is below zero or near a tie of the seventh decimal; the text by itself stays Python's."""
+    ids = [0, 99998, 99999, 100003, 103700, 200000, 674302, 1500859, 1815278]
+    spark.createDataFrame([(n,) for n in ids], "event_id long").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    want = con.execute(ORACLE["date_eta"] + " order by event_id").fetchall()
+    assert [tuple(r) for r in QUERIES["date_eta"](spark, str(tmp_path)).orderBy("event_id").collect()] == want
+    seconds = [-1, -59, -86400, -86401, -200000]
+    df = spark.createDataFrame([(float(s),) for s in seconds], "s double")
+    assert [r[0] for r in df.select(strings.delta_text(F.col("s"))).collect()] == [str(datetime.timedelta(seconds=s)) for s in seconds]
+
+
 def test_options_as_values_and_text():
     assert registry.json_compatible({"a": [1, 2.5, None, "x", {"b": (True,)}]})
     assert not registry.json_compatible({1: "a"}) and not registry.json_compatible([{1}]) and not registry.json_compatible({"a": object()})
