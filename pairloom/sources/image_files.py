@@ -37,11 +37,11 @@ def _kept(df: DataFrame, *dropped: str) -> list[str]:
     return [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in dropped]
 
 
-def _pixels(images: list) -> list[pa.Array]:
+def _pixels(images: list, values: pa.DataType = pa.float32()) -> list[pa.Array]:
     """Columns c, h, w and data of (h, w, c) arrays in 0..1; None gives nulls."""
     sizes = [pa.array([None if x is None else x.shape[k] for x in images], pa.int32()) for k in (2, 0, 1)]
-    data = [None if x is None else x.transpose(2, 0, 1).astype(np.float32).ravel() for x in images]
-    return [*sizes, pa.array(data, pa.list_(pa.float32()))]
+    data = [None if x is None else x.transpose(2, 0, 1).astype(values.to_pandas_dtype()).ravel() for x in images]
+    return [*sizes, pa.array(data, pa.list_(values))]
 
 
 def _groups(batch: pa.RecordBatch, made, size):
@@ -192,7 +192,10 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
 
 def single_images(spark: SparkSession, path: str, flag: str = "color", mean: list[float] | None = None, std: list[float] | None = None) -> DataFrame:
     """name and image row of every PNG below a folder, normalised by channel if mean and std are given."""
-    out = decode(fetch(listing(spark, path, ".png").select(F.col("rel_path").alias("name")), path), flag=flag)
+    names = listing(spark, path, ".png").select(F.col("rel_path").alias("name"))
+    # a flat folder is listed by one task, which need not open its files as well
+    dealt = names.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "name")
+    out = decode(fetch(dealt, path), flag=flag)
     return out if mean is None else out.withColumn("data", normalised(mean, std))
 
 
@@ -252,12 +255,14 @@ def _origins(length: int, crop: int, step: int, threshold: int) -> list[int]:
 
 def sub_images(images: DataFrame, crop: int, step: int, threshold: int) -> DataFrame:
     """
-    Tiles of named images, row by row, as image rows named ``stem_s001.ext``; x2, x3, x4 and x8 vanish from the stem. One
-    image is held at a time. An image smaller than a tile is one tile.
+    Tiles of named images, row by row, as image rows named ``stem_s001.ext``, their values as they are; x2, x3, x4 and x8
+    vanish from the stem. One image is held at a time. An image smaller than a tile is one tile.
     """
+    kind = images.schema["data"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
+            values = batch.schema.field("data").type.value_type
             for name, c, h, w, data in zip(*(batch.column(n) for n in ("name", "c", "h", "w", "data")), strict=True):
                 c, h, w = c.as_py(), h.as_py(), w.as_py()
                 x = data.values.to_numpy(zero_copy_only=False).reshape(c, h, w)
@@ -265,14 +270,14 @@ def sub_images(images: DataFrame, crop: int, step: int, threshold: int) -> DataF
                 for mark in ("x2", "x3", "x4", "x8"):
                     stem = stem.replace(mark, "")
                 places = [(a, b) for a in _origins(h, crop, step, threshold) for b in _origins(w, crop, step, threshold)]
-                per = max(1, GROUP_BYTES // (4 * c * crop * crop))
+                per = max(1, GROUP_BYTES // (x.itemsize * c * crop * crop))
                 for first in range(0, len(places), per):
                     part = places[first : first + per]
-                    made = _pixels([x[:, a : a + crop, b : b + crop].transpose(1, 2, 0) for a, b in part])
+                    made = _pixels([x[:, a : a + crop, b : b + crop].transpose(1, 2, 0) for a, b in part], values)
                     names = [f"{stem}_s{n:03d}{ext}" for n in range(first + 1, first + 1 + len(part))]
                     yield pa.RecordBatch.from_arrays([pa.array(names), *made], names=["name", "c", "h", "w", "data"])
 
-    return images.select("name", "c", "h", "w", "data").mapInArrow(run, f"name string, {PIXELS}")
+    return images.select("name", "c", "h", "w", "data").mapInArrow(run, f"name string, c int, h int, w int, data {kind}")
 
 
 def image_store(images: DataFrame, path: str, level: int = 1) -> None:

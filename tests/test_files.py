@@ -174,6 +174,26 @@ def test_tiles_of_uneven_images(spark, tmp_path):
     assert got.keys() == want.keys() and all((got[n] == want[n].transpose(2, 0, 1)).all() for n in want)
 
 
+def test_tiles_keep_doubles(spark, tmp_path):
+    """Values just below and above the half of a step, which floats cannot tell apart, are rounded as the image itself would be."""
+    x = ((np.arange(192) + 0.5) / 255 * (1 + 1e-9 * np.where(np.arange(192) % 2, 1, -1))).reshape(3, 8, 8)
+    rows = spark.createDataFrame([("p.png", 3, 8, 8, x.ravel().tolist())], "name string, c int, h int, w int, data array<double>")
+    tiles = files.sub_images(rows, 4, 4, 0)
+    assert dict(tiles.dtypes)["data"] == "array<double>" and dict(files.sub_images(rows.withColumn("data", F.col("data").cast("array<float>")), 4, 4, 0).dtypes)["data"] == "array<float>"
+    files.write_images(tiles, f"{tmp_path}/t")
+    got = {r.name: np.rint(np.reshape(r.data, (r.c, r.h, r.w)) * 255) for r in files.single_images(spark, f"{tmp_path}/t").collect()}
+    assert got.keys() == {f"p_s00{k}.png" for k in range(1, 5)}
+    for k, (a, b) in enumerate([(0, 0), (0, 4), (4, 0), (4, 4)], 1):
+        assert (got[f"p_s00{k}.png"] == np.rint(x[:, a : a + 4, b : b + 4] * 255)).all()
+
+
+def test_a_flat_folder_is_opened_by_many_tasks(spark, tmp_path):
+    rows = spark.range(64).select(F.concat(F.col("id").cast("string"), F.lit(".png")).alias("name"), F.lit(1).alias("c"), F.lit(1).alias("h"), F.lit(1).alias("w"), F.array(F.col("id") / 255.0).alias("data"))
+    files.write_images(rows, f"{tmp_path}/f")
+    found = files.single_images(spark, f"{tmp_path}/f", flag="unchanged").select("name", F.round(F.col("data")[0] * 255).cast("int").alias("v"), F.spark_partition_id().alias("task")).collect()
+    assert sorted((r.name, r.v) for r in found) == sorted((f"{k}.png", k) for k in range(64)) and len({r.task for r in found}) > 2
+
+
 def test_store_keeps_sizes(spark, tmp_path):
     rows = spark.createDataFrame([("k", 1, 1, 2, [0.0, 1.0])], "key string, c int, h int, w int, data array<double>")
     files.image_store(rows, f"{tmp_path}/s", 6)
